@@ -45,7 +45,7 @@ def distinct_tags(x, separator: str = ",") -> Column:
 
 def terms(x, separators=(" ",), min_length: int = 1) -> Column:
     """Distinct lower-case terms of a row, at least ``min_length`` long."""
-    parts = F.transform(split_any(F.lower(_c(x)), separators), F.trim)
+    parts = F.transform(split_any(F.lower(_c(x)), separators), lambda t: F.btrim(t, F.lit(" \t\n\r")))
     return F.array_distinct(F.filter(parts, lambda t: F.length(t) >= min_length))
 
 
