@@ -4,6 +4,7 @@ from tallyweave.suite import (  # noqa: F401
     aggregation,
     filters,
     joining,
+    ordering,
     projection,
     scalars,
 )
