@@ -7,6 +7,8 @@ from tallyweave.suite import (  # noqa: F401
     ordering,
     projection,
     scalars,
+    shop,
+    storage,
 )
 from tallyweave.suite.registry import ORACLES, QUERIES
 

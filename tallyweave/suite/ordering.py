@@ -269,12 +269,12 @@ def set_distinct_vectors(t):
 
 @query(
     "set_difference",
-    "SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'A' EXCEPT SELECT l_suppkey FROM lineitem WHERE l_quantity = 50",
+    """SELECT l_suppkey, l_quantity FROM lineitem WHERE l_returnflag = 'A'
+       EXCEPT SELECT l_suppkey, l_quantity FROM lineitem WHERE l_returnflag = 'R'""",
 )
 def set_difference(t):
-    return (
-        t.lineitem.filter("l_returnflag = 'A'").select("l_suppkey").subtract(t.lineitem.filter("l_quantity = 50").select("l_suppkey"))
-    )
+    pairs = lambda flag: t.lineitem.filter(F.col("l_returnflag") == flag).select("l_suppkey", "l_quantity")
+    return pairs("A").subtract(pairs("R"))
 
 
 @query("set_split_back", f"WITH {HOLED} SELECT segment IS NULL AS to_score, COUNT(*) AS n FROM holed GROUP BY ALL")
