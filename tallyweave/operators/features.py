@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallyweave.operators.columns import numeric_columns, q
 from tallyweave.operators.joins import map_codes
 from tallyweave.operators.ordered import apply_cascade, fit_cascade
-from tallyweave.operators.quantiles import exact_quantiles, group_modes
+from tallyweave.operators.quantiles import column_modes, exact_quantiles
 
 
 # --- plain functions -------------------------------------------------------------------------
@@ -41,6 +41,25 @@ def kv_wide(df: DataFrame, key: str, column: str, groups: dict, default: str, pr
     return long.groupBy(key).agg(*sums)
 
 
+def kv_columns(column, groups: dict, default: str, prefix: str, names) -> dict[str, Column]:
+    """Row-local form of ``kv_wide`` for frames with one row per key: name -> column, no shuffle."""
+    items = F.filter(F.split(F.coalesce(q(column), F.lit("")), ","), lambda i: F.contains(i, F.lit(":")))
+    pairs = F.transform(
+        items,
+        lambda i: F.struct(
+            map_codes(F.split_part(i, F.lit(":"), F.lit(1)), groups, default, prefix).alias("name"),
+            F.split_part(i, F.lit(":"), F.lit(2)).try_cast("decimal(28,4)").alias("value"),
+        ),
+    )
+    zero = F.lit(0).cast("decimal(38,4)")
+    total = lambda name: F.aggregate(
+        F.filter(pairs, lambda p: (p["name"] == prefix + name) & p["value"].isNotNull()),
+        zero,
+        lambda acc, p: (acc + p["value"]).cast("decimal(38,4)"),
+    )
+    return {prefix + n: total(n).cast("double") for n in names}
+
+
 def argmax_column(columns) -> Column:
     """Name of the column with the largest positive value; ties go to the first name in order."""
     best = F.lit(None).cast("string")
@@ -141,9 +160,9 @@ class SimpleImpute(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
         fills = {}
         if numbers:
             fills = {r["column"]: r["q"][0] for r in exact_quantiles(df, [], numbers, [0.5]).collect()}
-        for c, kind in df.dtypes:
-            if c in chosen and kind == "string":
-                fills[c] = group_modes(df, [], c, "top").first()["top"]
+        texts = [c for c, kind in df.dtypes if c in chosen and kind == "string"]
+        if texts:
+            fills |= column_modes(df, texts)
         return SimpleImputeModel(fills)
 
 

@@ -117,3 +117,19 @@ def group_modes(df: DataFrame, keys, column: str, name: str | None = None) -> Da
     counts = kept.groupBy(*[q(k) for k in keys], q(column)).agg(F.count(F.lit(1)).alias("n"))
     best = F.min_by(q(column), F.struct(-F.col("n"), q(column))).alias(name or column)
     return counts.groupBy(*[q(k) for k in keys]).agg(best) if keys else counts.agg(best)
+
+
+def column_modes(df: DataFrame, columns) -> dict:
+    """Most frequent non-null text of each column, one job for all; ties go to the smallest."""
+    cells = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), q(c).cast("string").alias("value")) for c in columns])
+    )
+    counts = (
+        df.select(cells.alias("cell"))
+        .select("cell.*")
+        .filter(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    best = counts.groupBy("column").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("value"))
+    return {r["column"]: r["value"] for r in best.collect()}

@@ -20,7 +20,9 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(self.path(name))
+        self.__dict__[name] = df  # footers are read once per query
+        return df
 
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
