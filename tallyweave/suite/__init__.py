@@ -3,6 +3,7 @@
 from tallyweave.suite import (  # noqa: F401
     aggregation,
     filters,
+    flows,
     joining,
     ordering,
     projection,
