@@ -236,13 +236,13 @@ class OneHot(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
 class GroupImputeModel(Model):
     """Holds the per-level reference tables as DataFrames; they can outgrow a driver."""
 
-    def __init__(self, targets, levels, tables, last_wins):
+    def __init__(self, levels, tables, last_wins):
         super().__init__()
-        self.targets, self.levels, self.tables, self.last_wins = targets, levels, tables, last_wins
+        self.levels, self.tables, self.last_wins = levels, tables, last_wins
 
     def _transform(self, df):
-        for target in self.targets:
-            df = apply_cascade(df, target, self.levels, self.tables[target], self.last_wins)
+        for targets, fills in self.tables:
+            df = apply_cascade(df, targets, self.levels, fills, self.last_wins)
         return df
 
 
@@ -259,10 +259,14 @@ class GroupImpute(Estimator):
 
     def _fit(self, df):
         kinds = dict(df.dtypes)
-        tables = {
-            c: fit_cascade(df, c, self.levels, "mode" if kinds[c] == "string" else "median") for c in self.targets
-        }
-        return GroupImputeModel(self.targets, self.levels, tables, self.last_wins)
+        texts = [c for c in self.targets if kinds[c] == "string"]
+        numbers = [c for c in self.targets if kinds[c] != "string"]
+        tables = []
+        if texts:
+            tables.append((texts, fit_cascade(df, texts, self.levels, "mode")))
+        if numbers:
+            tables.append((numbers, fit_cascade(df, numbers, self.levels, "median")))
+        return GroupImputeModel(self.levels, tables, self.last_wins)
 
 
 class PathLabel(Transformer, DefaultParamsReadable, DefaultParamsWritable):

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweave.functions.dates import week_ending_monday
 from tallyweave.operators.columns import q
 from tallyweave.operators.joins import complete_calendar
-from tallyweave.operators.quantiles import group_medians, group_modes, quantiles_of_counts
+from tallyweave.operators.quantiles import group_medians, quantiles_of_counts, value_counts
 from tallyweave.session import cut_lineage, staged
 
 
@@ -84,32 +86,31 @@ def merge_duplicates(df: DataFrame, keys, order) -> DataFrame:
     return df.dropna("any", subset=keys).groupBy(*[q(k) for k in keys]).agg(*firsts).select(*[q(c) for c in df.columns])
 
 
-def repair_by_group_median(df: DataFrame, column: str, bad: Column, ref: str, keep_bad: bool = True) -> DataFrame:
-    """Bad values replaced by the median of the good values with the same reference value.
+def repair_by_group_median(df: DataFrame, bad: dict[str, Column], ref: str) -> DataFrame:
+    """Bad cells replaced by the median of the good cells with the same reference value.
 
-    The comparison ignores case and outer blanks. Medians come from the state before any repair
-    and never include a bad value. Where no good value exists the cell stays
-    as it is (or becomes NULL with ``keep_bad=False``).
+    ``bad`` maps each column to repair to its condition; all columns go through in one pass. The
+    reference comparison ignores case and outer blanks. Medians come from the state before any
+    repair and never include a bad cell. Where no good cell exists the value stays as it is.
     """
     key = F.lower(F.trim(q(ref).cast("string")))
-    flagged = df.withColumns({"_key": key, "_bad": F.coalesce(bad, F.lit(False))})
-    good = flagged.filter(~F.col("_bad") & q(column).isNotNull())
-    medians = group_medians(good, ["_key"], [column]).withColumnRenamed(column, "_median")
-    rest = q(column) if keep_bad else F.when(~F.col("_bad"), q(column))
-    fixed = F.when(F.col("_bad"), F.coalesce(F.col("_median"), rest)).otherwise(q(column))
-    return flagged.join(medians, "_key", "left").withColumn(column, fixed).select(*[q(c) for c in df.columns])
+    flags = {c: F.coalesce(cond, F.lit(False)) for c, cond in bad.items()}
+    flagged = df.withColumns({"_key": key, **{f"_bad_{c}": f for c, f in flags.items()}})
+    good = flagged.select("_key", *[F.when(~q(f"_bad_{c}"), q(c)).alias(c) for c in bad])
+    medians = group_medians(good, ["_key"], list(bad)).withColumnsRenamed({c: f"_median_{c}" for c in bad})
+    fixed = {c: F.when(q(f"_bad_{c}"), F.coalesce(q(f"_median_{c}"), q(c))).otherwise(q(c)) for c in bad}
+    return flagged.join(medians, "_key", "left").withColumns(fixed).select(*[q(c) for c in df.columns])
 
 
-def repair_by_word_median(
-    df: DataFrame, column: str, bad: Column, words: Column, min_rows: int, row_id: str
-) -> DataFrame:
-    """Bad values replaced by the median over the good rows that hold all frequent words of the row.
+def repair_by_word_median(df: DataFrame, bad: dict[str, Column], words: Column, min_rows: int) -> DataFrame:
+    """Bad cells replaced by the median over the good cells of rows that hold all frequent words of the row.
 
-    Rows are reduced to their set of frequent words first, and good rows further to
-    (set, value, count). A bad set meets only the good sets that hold its rarest
+    Rows are reduced to their set of frequent words first, and good cells further to
+    (set, column, value, count). A bad set meets only the good sets that hold its rarest
     word, then must be contained in them.
     """
-    tagged = df.withColumns({"_words": words, "_bad": F.coalesce(bad, F.lit(False))})
+    flags = {f"_bad_{c}": F.coalesce(cond, F.lit(False)) for c, cond in bad.items()}
+    tagged = df.withColumns({"_words": words, **flags})
     frequent = (
         tagged.select(F.explode("_words").alias("word"))
         .groupBy("word")
@@ -128,47 +129,80 @@ def repair_by_word_median(
         )
     )
     rows = staged(tagged.join(sets, "_words", "left"), "word-sets")
-    good = (
-        rows.filter(~F.col("_bad") & q(column).isNotNull() & F.col("_set").isNotNull())
-        .groupBy(F.col("_set").alias("_have"), q(column).cast("double").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    known = rows.filter(F.col("_set").isNotNull())
+    good = value_counts(
+        known.select(F.col("_set").alias("_have"), *[F.when(~q(f"_bad_{c}"), q(c)).alias(c) for c in bad]),
+        ["_have"],
+        list(bad),
     )
     by_word = good.select("_have").distinct().select("_have", F.explode("_have").alias("_rarest"))
-    needed = rows.filter(F.col("_bad") & F.col("_set").isNotNull()).select("_set", "_rarest").distinct()
+    any_bad = reduce(lambda a, b: a | b, [q(f"_bad_{c}") for c in bad])
+    needed = known.filter(any_bad).select("_set", "_rarest").distinct()
     contains = (
         needed.join(by_word, "_rarest").filter(F.size(F.array_except("_set", "_have")) == 0).select("_set", "_have")
     )
-    counts = contains.join(good, "_have").groupBy("_set", "value").agg(F.sum("n").alias("n"))
-    medians = quantiles_of_counts(counts, ["_set"], [0.5]).select("_set", F.col("q")[0].alias("_median"))
-    fixed = F.when(F.col("_bad"), F.coalesce(F.col("_median"), q(column))).otherwise(q(column))
-    return rows.join(medians, "_set", "left").withColumn(column, fixed).select(*[q(c) for c in df.columns])
+    counts = contains.join(good, "_have").groupBy("_set", "column", "value").agg(F.sum("n").alias("n"))
+    long = quantiles_of_counts(counts, ["_set", "column"], [0.5])
+    medians = long.groupBy("_set").agg(
+        *[F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(f"_median_{c}") for c in bad]
+    )
+    fixed = {c: F.when(q(f"_bad_{c}"), F.coalesce(q(f"_median_{c}"), q(c))).otherwise(q(c)) for c in bad}
+    return rows.join(medians, "_set", "left").withColumns(fixed).select(*[q(c) for c in df.columns])
 
 
-def fit_cascade(df: DataFrame, target: str, levels, kind: str = "median") -> list[DataFrame]:
-    """One (keys, fill) table per key set, finest first. Text targets use the mode."""
-    tables = []
-    for i, keys in enumerate(levels):
-        known = df.filter(q(target).isNotNull())
-        if kind == "mode":
-            table = group_modes(known, keys, target, f"_fill{i}")
-        elif kind == "mean":
-            table = known.dropna("any", subset=list(keys)).groupBy(*keys).agg(F.avg(q(target)).alias(f"_fill{i}"))
-        else:
-            table = group_medians(known, keys, [target]).withColumnRenamed(target, f"_fill{i}")
-        tables.append(table)
-    return tables
-
-
-def apply_cascade(df: DataFrame, target: str, levels, tables, last_wins: bool = False) -> DataFrame:
+def _level_key(level: int, keys) -> Column:
+    """Text that names one group of one level; NULL where a key is missing."""
+    known = reduce(lambda a, b: a & b, [q(k).isNotNull() for k in keys])
+    return F.when(known, F.to_json(F.struct(F.lit(level).alias("level"), *[q(k) for k in keys])))
+
+
+def fit_cascade(df: DataFrame, targets, levels, kind: str = "median") -> DataFrame:
+    """Fill values of all targets for all key sets: (group, one column per target).
+
+    The rows are read once and reduced to value counts over all keys; each count then goes to its
+    group of every level, and one pass yields all medians, means or modes.
+    """
+    targets, keys = list(targets), sorted({k for level in levels for k in level})
+    as_type = "string" if kind == "mode" else "double"
+    cells = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), q(c).cast(as_type).alias("value")) for c in targets])
+    )
+    base = (
+        df.select(*[q(k) for k in keys], cells.alias("cell"))
+        .filter(F.col("cell.value").isNotNull())
+        .groupBy(*[q(k) for k in keys], F.col("cell.column").alias("column"), F.col("cell.value").alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    groups = F.explode(F.array(*[_level_key(i, level) for i, level in enumerate(levels)]))
+    counts = (
+        base.select(groups.alias("group"), "column", "value", "n")
+        .filter(F.col("group").isNotNull())
+        .groupBy("group", "column", "value")
+        .agg(F.sum("n").alias("n"))
+    )
+    by = counts.groupBy("group", "column")
+    if kind == "median":
+        long = quantiles_of_counts(counts, ["group", "column"], [0.5])
+        long = long.select("group", "column", F.col("q")[0].alias("fill"))
+    elif kind == "mean":
+        long = by.agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("fill"))
+    else:
+        long = by.agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("fill"))
+    wide = long.groupBy("group").agg(*[F.max(F.when(F.col("column") == c, F.col("fill"))).alias(c) for c in targets])
+    return staged(wide, "fills")
+
+
+def apply_cascade(df: DataFrame, targets, levels, fills: DataFrame, last_wins: bool = False) -> DataFrame:
     """Missing targets filled from the finest level that has a value (or the last, with ``last_wins``)."""
     out = df
-    for keys, table in zip(levels, tables, strict=True):
-        out = out.join(table, list(keys), "left")
-    fills = [F.col(f"_fill{i}") for i in range(len(tables))]
-    if last_wins:
-        fills.reverse()
-    return out.withColumn(target, F.coalesce(q(target), *fills)).select(*[q(c) for c in df.columns])
+    for i, keys in enumerate(levels):
+        table = fills.select(F.col("group").alias("_group"), *[q(c).alias(f"_fill{i}_{c}") for c in targets])
+        out = out.withColumn("_group", _level_key(i, keys)).join(table, "_group", "left").drop("_group")
+    order = range(len(levels) - 1, -1, -1) if last_wins else range(len(levels))
+    new = {c: F.coalesce(q(c), *[q(f"_fill{i}_{c}") for i in order]) for c in targets}
+    return out.withColumns(new).select(*[q(c) for c in df.columns])
 
 
-def cascade_impute(df: DataFrame, target: str, levels, kind: str = "median", last_wins: bool = False) -> DataFrame:
-    return apply_cascade(df, target, levels, fit_cascade(df, target, levels, kind), last_wins)
+def cascade_impute(df: DataFrame, targets, levels, kind: str = "median", last_wins: bool = False) -> DataFrame:
+    targets = [targets] if isinstance(targets, str) else list(targets)
+    return apply_cascade(df, targets, levels, fit_cascade(df, targets, levels, kind), last_wins)

@@ -1,4 +1,8 @@
-"""Cleaning of building energy records."""
+"""Cleaning of building energy records.
+
+Each imputation reads its input several times (once per key set), so the input is staged
+before it; without that, plans would nest and grow with every step.
+"""
 
 from __future__ import annotations
 
@@ -49,12 +53,6 @@ def non_residential(df: DataFrame) -> DataFrame:
     )
 
 
-def impute_all(df: DataFrame, targets, levels, kind: str = "median") -> DataFrame:
-    for target in targets:
-        df = cascade_impute(df, target, levels, kind)
-    return df
-
-
 def areas_and_counts(df: DataFrame) -> DataFrame:
     """Use areas filled and made consistent with the total; building and floor counts bounded and filled."""
     df = df.withColumns(
@@ -67,16 +65,16 @@ def areas_and_counts(df: DataFrame) -> DataFrame:
             "NumberofFloors": N.within(q("NumberofFloors"), 0, MOST_FLOORS),
         }
     ).drop("YearBuilt", "Comments", "YearsENERGYSTARCertified")
-    df = cascade_impute(df, LARGEST, [[PRIMARY]], "mode")
-    df = impute_all(df, [USES[0], BUILDING], BY_USE)
+    df = staged(cascade_impute(df, LARGEST, [[PRIMARY]], "mode"), "uses")
+    df = cascade_impute(df, [USES[0], BUILDING], BY_USE)
     df = staged(raise_total(df, TOTAL, BUILDING, USES), "areas")
-    return impute_all(df, ["NumberofBuildings", "NumberofFloors"], BY_AGE)
+    return cascade_impute(df, ["NumberofBuildings", "NumberofFloors"], BY_AGE)
 
 
 def parking(df: DataFrame) -> DataFrame:
     """Parking share of the building area bounded, filled and turned back into an area."""
     share = N.within(N.ratio(q(PARKING), q(BUILDING)), None, MOST_PARKING)
-    df = impute_all(df.withColumn("parking_ratio", share), ["parking_ratio"], BY_PLACE)
+    df = cascade_impute(df.withColumn("parking_ratio", share), "parking_ratio", BY_PLACE)
     return df.withColumn(PARKING, q(BUILDING) * q("parking_ratio"))
 
 
@@ -104,8 +102,8 @@ def energy(df: DataFrame) -> DataFrame:
             "third_largest_property_use_type_ratio": N.ratio(q(USES[2]), q(TOTAL)),
         }
     )
-    df = impute_all(staged(df, "energy"), ["SiteEUIWN(kBtu/sf)", "GHGEmissionsIntensity"], BY_LARGEST)
-    return impute_all(staged(df, "intensity"), ["gas_ratio", "electricity_ratio", "steam_ratio"], BY_ANY)
+    df = cascade_impute(staged(df, "energy"), ["SiteEUIWN(kBtu/sf)", "GHGEmissionsIntensity"], BY_LARGEST)
+    return cascade_impute(staged(df, "intensity"), ["gas_ratio", "electricity_ratio", "steam_ratio"], BY_ANY)
 
 
 # Columns the cleaned table does not keep.

@@ -123,7 +123,7 @@ def win_dedup_coalesce(t):
 )
 def win_loo_median(t):
     parts = t.part.select("p_partkey", "p_type", "p_size", F.col("p_retailprice").alias("price"))
-    fixed = O.repair_by_group_median(parts, "price", ~F.col("p_size").between(5, 45), "p_type")
+    fixed = O.repair_by_group_median(parts, {"price": ~F.col("p_size").between(5, 45)}, "p_type")
     return fixed.select("p_partkey", F.round("price", 6).alias("price"))
 
 
@@ -142,9 +142,7 @@ def win_loo_median(t):
 )
 def win_word_median(t):
     parts = t.part.select("p_partkey", "p_size", "p_name", F.col("p_retailprice").alias("price"))
-    fixed = O.repair_by_word_median(
-        parts, "price", ~F.col("p_size").between(5, 45), X.terms("p_name", " "), 150, "p_partkey"
-    )
+    fixed = O.repair_by_word_median(parts, {"price": ~F.col("p_size").between(5, 45)}, X.terms("p_name", " "), 150)
     return fixed.select("p_partkey", F.round("price", 6).alias("price"))
 
 

@@ -357,11 +357,9 @@ def upd_rule_domain(t):
     food = t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_returnflag", F.col("l_discount").alias("fat"), F.col("l_tax").alias("sat")
     )
+    off = F.col("sat") > F.col("fat")
     # Both columns are repaired from the state before any repair.
-    food = food.withColumn("_off", F.col("sat") > F.col("fat"))
-    fixed = food
-    for c in ("fat", "sat"):
-        fixed = repair_by_group_median(fixed, c, F.col("_off"), "l_returnflag")
+    fixed = repair_by_group_median(food, {"fat": off, "sat": off}, "l_returnflag")
     return fixed.filter(F.col("sat") <= F.col("fat")).select(
         "l_orderkey", "l_linenumber", F.round("fat", 6).alias("fat"), F.round("sat", 6).alias("sat")
     )
