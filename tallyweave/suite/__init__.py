@@ -5,6 +5,7 @@ from tallyweave.suite import (  # noqa: F401
     filters,
     flows,
     joining,
+    learning,
     ordering,
     projection,
     scalars,
