@@ -11,6 +11,7 @@ from tallyweave.suite import (  # noqa: F401
     scalars,
     shop,
     storage,
+    streams,
 )
 from tallyweave.suite.registry import ORACLES, QUERIES
 
