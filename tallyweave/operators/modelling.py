@@ -19,7 +19,7 @@ from tallyweave.operators.sampling import unit_hash
 
 
 def assembled(df: DataFrame, features) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="x", handleInvalid="skip").transform(df)
+    return VectorAssembler(inputCols=list(features), outputCol="features_vec", handleInvalid="skip").transform(df)
 
 
 def folded(df: DataFrame, row_id: str, folds: int = 5) -> DataFrame:
@@ -29,10 +29,10 @@ def folded(df: DataFrame, row_id: str, folds: int = 5) -> DataFrame:
 
 def regressors(seed: int = 0) -> dict:
     """Name -> (estimator, parameter grid)."""
-    linear = LinearRegression(featuresCol="x", labelCol="y")
-    elastic = LinearRegression(featuresCol="x", labelCol="y", solver="l-bfgs")
-    forest = RandomForestRegressor(featuresCol="x", labelCol="y", seed=seed)
-    boosting = GBTRegressor(featuresCol="x", labelCol="y", seed=seed, maxIter=10)
+    linear = LinearRegression(featuresCol="features_vec", labelCol="label")
+    elastic = LinearRegression(featuresCol="features_vec", labelCol="label", solver="l-bfgs")
+    forest = RandomForestRegressor(featuresCol="features_vec", labelCol="label", seed=seed)
+    boosting = GBTRegressor(featuresCol="features_vec", labelCol="label", seed=seed, maxIter=10)
     grid = ParamGridBuilder
     return {
         "linear": (linear, grid().addGrid(linear.fitIntercept, [True, False]).build()),
@@ -72,7 +72,7 @@ def regression_grid(
     ``use_log`` trains on log1p(target) and inverts with expm1; predictions are clipped to ``bounds``.
     """
     y = F.log1p(q(target)) if use_log else q(target).cast("double")
-    prepare = lambda d: assembled(d.select(row_id, target, *[q(f) for f in features]), features).withColumn("y", y)
+    prepare = lambda d: assembled(d.select(row_id, target, *[q(f) for f in features]), features).withColumn("label", y)
     train_x, test_x = folded(prepare(train), row_id, folds).cache(), prepare(test)
 
     def finish(df: DataFrame):
@@ -84,20 +84,20 @@ def regression_grid(
     out = None
     for name in names:
         if name == "baseline":
-            middle = group_medians(train_x, [], ["y"])
+            middle = group_medians(train_x, [], ["label"])
             predicted = test_x.withColumn("prediction", middle.scalar())
         elif name == "knn":
-            vectors = lambda d: d.select(row_id, vector_to_array("x").alias("v"))
+            vectors = lambda d: d.select(row_id, vector_to_array("features_vec").alias("v"))
             near = nearest(vectors(test_x), vectors(train_x).withColumnRenamed(row_id, "ref"), neighbours, row_id, "ref", "v")
-            known = train_x.select(q(row_id).alias("ref"), "y")
-            means = near.join(known, "ref").groupBy(row_id).agg(F.avg("y").alias("prediction"))
+            known = train_x.select(q(row_id).alias("ref"), "label")
+            means = near.join(known, "ref").groupBy(row_id).agg(F.avg("label").alias("prediction"))
             predicted = test_x.join(means, row_id)
         else:
             estimator, grid = regressors()[name]
             search = CrossValidator(
                 estimator=estimator,
                 estimatorParamMaps=grid,
-                evaluator=RegressionEvaluator(labelCol="y", metricName="r2"),
+                evaluator=RegressionEvaluator(labelCol="label", metricName="r2"),
                 numFolds=folds,
                 foldCol="fold",
                 parallelism=parallelism,
@@ -110,28 +110,28 @@ def regression_grid(
 
 def stacked(train: DataFrame, test: DataFrame, first_target: str, first_features, target: str, features) -> DataFrame:
     """Test rows with ``first`` (prediction of the first target) and ``prediction`` of the second, which uses ``first``."""
-    one = LinearRegression(featuresCol="x", labelCol=first_target, predictionCol="first").fit(assembled(train, first_features))
-    with_first = lambda d: one.transform(assembled(d, first_features)).drop("x")
-    two = LinearRegression(featuresCol="x", labelCol=target).fit(assembled(with_first(train), [*features, "first"]))
-    return two.transform(assembled(with_first(test), [*features, "first"])).drop("x")
+    one = LinearRegression(featuresCol="features_vec", labelCol=first_target, predictionCol="first").fit(assembled(train, first_features))
+    with_first = lambda d: one.transform(assembled(d, first_features)).drop("features_vec")
+    two = LinearRegression(featuresCol="features_vec", labelCol=target).fit(assembled(with_first(train), [*features, "first"]))
+    return two.transform(assembled(with_first(test), [*features, "first"])).drop("features_vec")
 
 
 def weighted_classifier(train: DataFrame, test: DataFrame, row_id: str, target: str, features, iterations: int = 10):
     """(model, scored test rows): boosted trees, classes weighted to equal totals; ``score`` is P(class 1)."""
     positives = train.agg(F.avg(q(target).cast("double"))).first()[0] or 0.5
     weight = F.when(q(target) == 1, 0.5 / max(positives, 1e-9)).otherwise(0.5 / max(1 - positives, 1e-9))
-    ready = assembled(train, features).withColumns({"y": q(target).cast("double"), "w": weight})
-    model = GBTClassifier(featuresCol="x", labelCol="y", weightCol="w", maxIter=iterations, maxDepth=3, seed=0).fit(ready)
-    scored = model.transform(assembled(test, features).withColumn("y", q(target).cast("double")))
-    return model, scored.withColumn("score", vector_to_array("probability")[1]).select(row_id, "y", "score", "prediction", "rawPrediction", "probability")
+    ready = assembled(train, features).withColumns({"label": q(target).cast("double"), "w": weight})
+    model = GBTClassifier(featuresCol="features_vec", labelCol="label", weightCol="w", maxIter=iterations, maxDepth=3, seed=0).fit(ready)
+    scored = model.transform(assembled(test, features).withColumn("label", q(target).cast("double")))
+    return model, scored.withColumn("score", vector_to_array("probability")[1]).select(row_id, "label", "score", "prediction", "rawPrediction", "probability")
 
 
 def classification_scores(scored: DataFrame) -> DataFrame:
-    """One row: auc, f1, log_loss of scored rows (y, score, prediction)."""
-    auc = BinaryClassificationEvaluator(labelCol="y").evaluate(scored)
-    f1 = MulticlassClassificationEvaluator(labelCol="y", metricName="f1").evaluate(scored)
+    """One row: auc, f1, log_loss of scored rows (label, score, prediction)."""
+    auc = BinaryClassificationEvaluator(labelCol="label").evaluate(scored)
+    f1 = MulticlassClassificationEvaluator(labelCol="label", metricName="f1").evaluate(scored)
     p = clip("score", 1e-15, 1 - 1e-15)
-    loss = -F.avg(F.col("y") * F.log(p) + (1 - F.col("y")) * F.log(1 - p))
+    loss = -F.avg(F.col("label") * F.log(p) + (1 - F.col("label")) * F.log(1 - p))
     return scored.agg(F.lit(float(auc)).alias("auc"), F.lit(float(f1)).alias("f1"), loss.alias("log_loss"))
 
 
