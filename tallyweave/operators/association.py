@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +60,27 @@ def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.groupBy(q(a), q(b)).agg(F.count(F.lit(1)).alias("n"))
 
 
+def chi2_survival(x: float, dof: float) -> float:
+    """P(X > x) of the chi squared distribution: the upper regularised incomplete gamma function."""
+    if dof <= 0 or x <= 0:
+        return 1.0
+    a, x = dof / 2, x / 2
+    scale = math.exp(a * math.log(x) - x - math.lgamma(a))
+    if x < a + 1:  # power series of the lower part
+        term = total = 1 / a
+        n = a
+        while term > total * 1e-17:
+            n += 1
+            term *= x / n
+            total += term
+        return 1 - scale * total
+    # continued fraction of the upper part, from the tail inwards
+    fraction = 0.0
+    for n in range(2000, 0, -1):
+        fraction = n * (n - a) / (x + 2 * n + 1 - a - fraction)
+    return scale / (x + 1 - a - fraction)
+
+
 def chi_square(df: DataFrame, a: str, b: str, alpha: float = 0.05) -> DataFrame:
     """Chi squared, degrees of freedom, p-value and verdict of independence.
 
@@ -65,9 +88,6 @@ def chi_square(df: DataFrame, a: str, b: str, alpha: float = 0.05) -> DataFrame:
     with no rows add their expected count, which the row totals give without
     listing the cells: sum of all expected counts = n.
     """
-    from pyspark.ml.feature import StringIndexer, VectorAssembler  # noqa: PLC0415
-    from pyspark.ml.stat import ChiSquareTest  # noqa: PLC0415
-
     pairs = df.select(q(a).cast("string").alias("a"), q(b).cast("string").alias("b")).dropna()
     cells = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
     rows = cells.groupBy("a").agg(F.sum("n").alias("na"))
@@ -83,13 +103,8 @@ def chi_square(df: DataFrame, a: str, b: str, alpha: float = 0.05) -> DataFrame:
     ).select(
         (F.col("_s") - F.col("rows")).alias("chi2"), (F.col("_ra") * F.col("_rb")).alias("dof"), "rows"
     )
-    # The p-value needs the chi squared distribution, which MLlib has.
-    coded = pairs
-    for c in ("a", "b"):
-        coded = StringIndexer(inputCol=c, outputCol=f"{c}_index").fit(coded).transform(coded)
-    coded = VectorAssembler(inputCols=["a_index"], outputCol="features").transform(coded)
-    test = ChiSquareTest.test(coded, "features", "b_index", flatten=True).select("pValue")
-    p = test.scalar()
-    return stat.withColumn("p_value", p).withColumn(
+    survival = F.pandas_udf(lambda x, k: pd.Series([chi2_survival(*v) for v in zip(x, k, strict=True)]), "double")
+    out = stat.withColumn("p_value", survival("chi2", F.col("dof").cast("double")))  # a single row
+    return out.withColumn(
         "verdict", F.when(F.col("p_value") < alpha, "dependent").otherwise("independent")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.operators.columns import q
 
-MANTISSA_STEPS = 1024  # buckets per power of two
+MANTISSA_STEPS = 1 << 16  # buckets per power of two: a group of any size has about a million at most
 
 
 def value_bucket(x: Column) -> Column:
