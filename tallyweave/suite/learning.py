@@ -460,6 +460,30 @@ def ml_regress_grid(t):
     return ML.regression_grid(train, test, "o_orderkey", "price", ["qty", "lines", "month"], folds=3)
 
 
+ORDER_ROWS = f"""
+    r AS (SELECT o_orderkey AS id, SUM(l_quantity) AS qty, SUM(l_extendedprice) / 1000 AS price, COUNT(*)::DOUBLE AS lines,
+                 {_hash('o_orderkey', 'split')} < 0.25 AS test FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1)"""
+
+
+@query(
+    "ml_regress_baselines",
+    f"""WITH {ORDER_ROWS}, m AS (SELECT quantile_cont(price, 0.5) AS p FROM r WHERE NOT test),
+        d AS (SELECT a.id, a.price AS y, b.price AS z, ROW_NUMBER() OVER (PARTITION BY a.id ORDER BY
+                (a.qty - b.qty) * (a.qty - b.qty) + (a.lines - b.lines) * (a.lines - b.lines), b.id) AS k
+              FROM r a JOIN r b ON a.test AND NOT b.test),
+        e AS (SELECT 'baseline' AS estimator, price AS y, p FROM r, m WHERE test
+              UNION ALL SELECT 'knn', ANY_VALUE(y), AVG(z) FROM d WHERE k <= 5 GROUP BY id)
+        SELECT estimator, ROUND(1 - AVG((y - p) * (y - p)) / VAR_POP(y), 6) AS r2, ROUND(SQRT(AVG((y - p) * (y - p))), 6) AS rmse,
+               COUNT(*) AS n FROM e GROUP BY estimator""",
+)
+def ml_regress_baselines(t):
+    """The two estimators of the grid whose result SQL can state."""
+    rows = _order_rows(t).withColumn("price", F.col("price") / 1000)
+    train, test = _split(rows, "o_orderkey")
+    out = ML.regression_grid(train, test, "o_orderkey", "price", ["qty", "lines"], names=("baseline", "knn"), folds=3)
+    return out.select("estimator", F.round("r2", 6).alias("r2"), F.round("rmse", 6).alias("rmse"), "n")
+
+
 @query("ml_target_log")
 def ml_target_log(t):
     train, test = _split(_order_rows(t), "o_orderkey")
