@@ -16,6 +16,7 @@ from tallyweave.operators.columns import q
 from tallyweave.operators.neighbours import nearest
 from tallyweave.operators.quantiles import group_medians
 from tallyweave.operators.sampling import unit_hash
+from tallyweave.session import spread
 
 
 def assembled(df: DataFrame, features) -> DataFrame:
@@ -73,7 +74,7 @@ def regression_grid(
     """
     y = F.log1p(q(target)) if use_log else q(target).cast("double")
     prepare = lambda d: assembled(d.select(row_id, target, *[q(f) for f in features]), features).withColumn("label", y)
-    train_x, test_x = folded(prepare(train), row_id, folds).cache(), prepare(test)
+    train_x, test_x = folded(prepare(spread(train, row_id)), row_id, folds).cache(), prepare(test)
 
     def finish(df: DataFrame):
         p = F.expm1("prediction") if use_log else F.col("prediction")
@@ -120,7 +121,7 @@ def weighted_classifier(train: DataFrame, test: DataFrame, row_id: str, target:
     """(model, scored test rows): boosted trees, classes weighted to equal totals; ``score`` is P(class 1)."""
     positives = train.agg(F.avg(q(target).cast("double"))).first()[0] or 0.5
     weight = F.when(q(target) == 1, 0.5 / max(positives, 1e-9)).otherwise(0.5 / max(1 - positives, 1e-9))
-    ready = assembled(train, features).withColumns({"label": q(target).cast("double"), "w": weight})
+    ready = assembled(spread(train, row_id), features).withColumns({"label": q(target).cast("double"), "w": weight})
     model = GBTClassifier(featuresCol="features_vec", labelCol="label", weightCol="w", maxIter=iterations, maxDepth=3, seed=0).fit(ready)
     scored = model.transform(assembled(test, features).withColumn("label", q(target).cast("double")))
     return model, scored.withColumn("score", vector_to_array("probability")[1]).select(row_id, "label", "score", "prediction", "rawPrediction", "probability")

@@ -86,3 +86,15 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
 def has_at_most(df: DataFrame, rows: int) -> bool:
     """Bounded size check; reads no more than ``rows + 1`` result rows."""
     return df.limit(rows + 1).count() <= rows
+
+
+def spread(df: DataFrame, *columns) -> DataFrame:
+    """Rows over all cores by a hash of ``columns``, for steps that compute much per row.
+
+    A small input would otherwise stay in one file split, hence one task. The explicit number keeps
+    adaptive execution from merging the partitions again.
+    """
+    spark = df.sparkSession
+    return df.repartition(
+        max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *columns
+    )

@@ -21,7 +21,7 @@ from tallyweave.plans import catalogue as G
 from tallyweave.plans import images as I
 from tallyweave.plans import rfm as R
 from tallyweave.plans import stability as ST
-from tallyweave.session import scratch_path, staged
+from tallyweave.session import scratch_path, spread, staged
 from tallyweave.suite.filters import HOLED, holed_customers
 from tallyweave.suite.ordering import _hash
 from tallyweave.suite.registry import query
@@ -342,12 +342,12 @@ def ml_tfidf(t):
 
 
 def _tokenised(t):
-    return t.documents.select("doc_id", X.tokens("text").alias("tokens"))
+    return staged(spread(t.documents.select("doc_id", X.tokens("text").alias("tokens")), "doc_id"), "tokens")
 
 
 @query("ml_lda")
 def ml_lda(t):
-    _, _, docs = T.topics(staged(_tokenised(t), "tokens"), "tokens", k=7, iterations=5)
+    _, _, docs = T.topics(_tokenised(t), "tokens", k=7, iterations=5)
     from pyspark.ml.functions import vector_to_array
 
     shares = vector_to_array("topic_shares")
@@ -356,13 +356,13 @@ def ml_lda(t):
 
 @query("top_terms_per_topic")
 def top_terms_per_topic(t):
-    counter, model, _ = T.topics(staged(_tokenised(t), "tokens"), "tokens", k=7, iterations=5)
+    counter, model, _ = T.topics(_tokenised(t), "tokens", k=7, iterations=5)
     return T.top_terms(counter, model, 10)
 
 
 @query("ml_word2vec")
 def ml_word2vec(t):
-    _, docs = T.word_vectors(staged(_tokenised(t), "tokens"), "tokens", size=32)
+    _, docs = T.word_vectors(_tokenised(t), "tokens", size=32)
     from pyspark.ml.functions import vector_to_array
 
     return docs.select("doc_id", vector_to_array("doc_vector").alias("v"))
