@@ -33,3 +33,8 @@ def utf8(text: Column) -> Column:
 def fold(key: Column, folds: int = 5) -> Column:
     """Fold of a row: crc32 of its key as text; a null key counts as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def if_small(ids: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A staged table of ids, marked for broadcast if it has at most ``rows`` rows; else the join shuffles."""
+    return F.broadcast(ids) if ids.count() <= rows else ids

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyweave.llm import brown
 from tallyweave.llm.decontaminate import is_contaminated, n_hit, scan_texts
-from tallyweave.llm.frames import table
+from tallyweave.llm.frames import fold, table
 from tallyweave.llm.mixing import mix_sources
 from tallyweave.llm.secrets import find_secrets
 from tallyweave.llm.sharding import shard_documents
+from tallyweave.llm.simhash import near_duplicates
+from tallyweave.llm.toxicity import score_texts, train
 from tallyweave.llm.urls import Rule, judge_urls
 from tallyweave.llm.warc import archive_pages
 
@@ -24,6 +27,21 @@ URL_RULES = (
 )
 
 
+def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_texts(docs, train(docs, table(spark, sf_dir, "labels")), ["doc_id"])
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id")) == 0).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        F.when(F.col("toxic_score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = scan_texts(docs, items, keep=["doc_id"])
@@ -65,15 +83,25 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, counts = brown.train(docs)
+    scored = brown.score_texts(docs, model, counts, ["doc_id"])
+    return scored.withColumn("held_out", fold(F.col("doc_id")) == 1)
+
+
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": simhash,
+    "op2_toxicity": toxicity,
     "op3_decontamination": decontamination,
     "op4_warc": warc,
     "op6_sharding": sharding,
     "op7_mixing": mixing,
     "op8_secrets": secret_scan,
+    "op9_brown": language_model,
     "op10_urls": url_filter,
 }
