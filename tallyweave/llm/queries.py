@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.llm import brown
 from tallyweave.llm.decontaminate import is_contaminated, n_hit, scan_texts
+from tallyweave.llm.forest import link_vectors
 from tallyweave.llm.frames import fold, table
 from tallyweave.llm.mixing import mix_sources
 from tallyweave.llm.secrets import find_secrets
@@ -61,6 +62,10 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": toxicity,
     "op3_decontamination": decontamination,
     "op4_warc": warc,
+    "op5_forest": embedding_links,
     "op6_sharding": sharding,
     "op7_mixing": mixing,
     "op8_secrets": secret_scan,
