@@ -166,24 +166,26 @@ def plan_records(
     )
 
 
-def train_dictionary(
-    pages: DataFrame, size: int = 64 << 10, samples: int = 512, longest: int = 64 << 10, html: str = "html"
-) -> bytes:
-    """Dictionary of ``size`` bytes from at most ``samples`` pages of at most ``longest`` bytes, chosen by hash.
+def train_dictionary(records: DataFrame, size: int = 64 << 10, samples: int = 512, longest: int = 64 << 10) -> bytes:
+    """Dictionary of ``size`` bytes from at most ``samples`` payloads of 100 to ``longest`` bytes, chosen by hash.
 
-    The sample is at most samples x longest bytes (32 MB). Without enough material the result is empty and
-    archives are written without a dictionary.
+    ``records`` are those of :func:`plan_records`. Tasks pass on only the payloads below a bound of the hash
+    that lets about twice ``samples`` through, so at most a few dozen MB travel, however many pages there
+    are. Without enough material the result is empty and archives are written without a dictionary.
     """
-    body = utf8(F.col(f"`{html}`"))
+    n = records.count()
+    lot = F.shiftrightunsigned(F.xxhash64("payload_digest"), 11).cast("double") / F.lit(float(1 << 53))
     chosen = (
-        pages.select(body.alias("body"))
-        .where(F.octet_length("body").between(1, longest))
-        .orderBy(F.xxhash64("body"))
+        records.where(F.col("refers_to").isNull() & F.col("payload_bytes").between(100, longest))
+        .where(lot < min(1.0, 2 * samples / max(1, n)))
+        .select("payload_digest", "payload")
+        .dropDuplicates(["payload_digest"])
+        .orderBy(F.xxhash64("payload_digest"))
         .limit(samples)
         .collect()
     )
-    texts = [bytes(r["body"]) for r in chosen]
-    if sum(map(len, texts)) < 16 * size // 8 or len(texts) < 8:
+    texts = [bytes(r["payload"]) for r in chosen]
+    if sum(map(len, texts)) < 2 * size or len(texts) < 8:
         return b""
     try:
         return zstandard.train_dictionary(size, texts, level=3).as_bytes()
@@ -257,5 +259,5 @@ def archive_pages(pages: DataFrame, path: str | None = None, **options) -> DataF
     spark = pages.sparkSession
     path = path or scratch_path(spark, "warc")
     records = plan_records(pages, **options)
-    write_archives(records, path, train_dictionary(pages, html=options.get("html", "html")))
+    write_archives(records, path, train_dictionary(records))
     return read_archives(spark, path)
