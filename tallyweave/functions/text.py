@@ -50,10 +50,10 @@ def terms(x, separators=(" ",), min_length: int = 1) -> Column:
 
 
 def tokens(x, min_length: int = 4, stop=()) -> Column:
-    """Lower-case runs of ASCII letters with at least ``min_length`` of them, stop words removed."""
-    words = F.split(F.lower(_c(x)), "[^a-z]+")
-    keep = F.filter(words, lambda t: F.length(t) >= min_length)
-    return F.array_except(keep, F.array(*[F.lit(s) for s in stop])) if stop else keep
+    """Lower-case runs of letters of any script, at least ``min_length`` long, without stop words; repeats stay."""
+    words = F.split(F.lower(_c(x)), r"[^\p{L}]+")
+    stop = [str(s) for s in stop]
+    return F.filter(words, lambda t: (F.length(t) >= min_length) & (~t.isin(*stop) if stop else F.lit(True)))
 
 
 def remove_phrase(x, phrase) -> Column:

@@ -212,24 +212,16 @@ class OneHotModel(_FittedModel):
 class OneHot(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     """0/1 column per fitted value, named ``column[value]``; values not seen in the fit give all zeros."""
 
-    max_values = Param(Params._dummy(), "max_values", "largest number of values of a column", TypeConverters.toInt)
-
     @keyword_only
-    def __init__(self, *, columns=None, max_values=1000):
+    def __init__(self, *, columns=None):
         super().__init__()
-        self._setDefault(max_values=1000)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df):
         cols = self.getOrDefault("columns") if self.isDefined("columns") else [c for c, k in df.dtypes if k == "string"]
-        limit = self.getOrDefault("max_values")
-        learned = {}
-        for c in cols:
-            # Output columns are named after the values, so their number must be small anyway.
-            found = df.select(q(c).cast("string").alias("v")).dropna().distinct().limit(limit + 1).collect()
-            if len(found) > limit:
-                raise ValueError(f"{c} has more than {limit} values")
-            learned[c] = sorted(r["v"] for r in found)
+        # One pass for all columns. The result is one output column per value, so the values fit the driver.
+        found = df.agg(*[F.collect_set(q(c).cast("string")).alias(f"v{i}") for i, c in enumerate(cols)]).first() if cols else ()
+        learned = {c: sorted(found[i]) for i, c in enumerate(cols)}
         return OneHotModel(learned)
 
 

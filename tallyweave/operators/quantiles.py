@@ -36,7 +36,7 @@ def value_counts(df: DataFrame, keys, columns) -> DataFrame:
     long = base.select(*[q(k) for k in keys], cells.alias("cell")).select(
         *[q(k) for k in keys], F.col("cell.column").alias("column"), F.col("cell.value").alias("value")
     )
-    kept = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    kept = long.filter(F.abs("value") < float("inf"))  # neither NULL nor NaN nor infinite
     return kept.groupBy(*[q(k) for k in keys], "column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -18,6 +18,7 @@ RUNTIME_SETTINGS = {
 }
 
 _LOCAL_DIRS: dict[str, str] = {}
+_STAGED: list[str] = []
 
 
 def get_session(app: str = "tallyweave", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -79,10 +80,25 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     and lets each reader prune columns, which a checkpointed RDD cannot.
     """
     path = scratch_path(df.sparkSession, name)
+    _STAGED.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def staged_paths() -> list[str]:
+    """Tables that :func:`staged` wrote in this process and that are still there, in order."""
+    return list(_STAGED)
+
+
+def drop_staged(spark: SparkSession, paths: list[str]) -> None:
+    """Remove staged tables that no frame reads any more; tables of others are left alone."""
+    jvm = spark.sparkContext._jvm
+    for path in [p for p in paths if p in _STAGED]:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _STAGED.remove(path)
+
+
 def has_at_most(df: DataFrame, rows: int) -> bool:
     """Bounded size check; reads no more than ``rows + 1`` result rows."""
     return df.limit(rows + 1).count() <= rows

@@ -13,12 +13,8 @@ def write_parquet(df: DataFrame, path: str, partition_by=()) -> None:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def write_csv_single(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    """One CSV file with header. One file means one task, so the size is checked first."""
-    from tallyweave.session import has_at_most
-
-    if not has_at_most(df, max_rows):
-        raise ValueError(f"more than {max_rows} rows: write a folder of CSV parts instead")
+def write_csv_single(df: DataFrame, path: str) -> None:
+    """One CSV file with header. One file means one task; ``write_csv`` makes a folder of parts."""
     df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 

@@ -327,7 +327,7 @@ def agg_term_doc_freq(t):
 
 @query(
     "agg_term_freq",
-    """WITH w AS (SELECT unnest(regexp_split_to_array(LOWER(text), '[^a-z]+')) AS term FROM documents)
+    """WITH w AS (SELECT unnest(regexp_split_to_array(LOWER(text), '[^\\p{L}]+')) AS term FROM documents)
        SELECT term, COUNT(*) AS n, COUNT(*) > 500 AS stop FROM w WHERE LENGTH(term) >= 4 GROUP BY term""",
 )
 def agg_term_freq(t):

@@ -322,7 +322,7 @@ def ml_cluster_stability(t):
 
 # --- text ------------------------------------------------------------------------------------------
 
-TOKENS = """tk AS (SELECT doc_id, unnest(regexp_split_to_array(LOWER(text), '[^a-z]+')) AS term FROM documents)"""
+TOKENS = """tk AS (SELECT doc_id, unnest(regexp_split_to_array(LOWER(text), '[^\\p{L}]+')) AS term FROM documents)"""
 
 
 @query("ml_bow", f"WITH {TOKENS} SELECT doc_id, term, COUNT(*) AS n FROM tk WHERE LENGTH(term) >= 4 GROUP BY ALL")

@@ -112,7 +112,7 @@ STOP = ("that", "this", "with")  # sample stop list
 
 @query(
     "fn_tokenise",
-    """WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(LOWER(text), '[^a-z]+')) AS tok FROM documents),
+    """WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(LOWER(text), '[^\\p{L}]+')) AS tok FROM documents),
        s AS (SELECT doc_id, COUNT(*) AS n FROM w WHERE LENGTH(tok) >= 4 AND tok NOT IN ('that', 'this', 'with')
              GROUP BY doc_id)
        SELECT d.doc_id, COALESCE(n, 0) AS n FROM documents d LEFT JOIN s USING (doc_id)""",

@@ -91,3 +91,11 @@ def test_key_value_strings(spark, local):
 def test_argmax_column(spark):
     df = spark.createDataFrame([(0.0, 3.0, 3.0), (0.0, 0.0, 0.0)], "a double, b double, c double")
     assert [r[0] for r in df.select(argmax_column(["a", "b", "c"])).collect()] == ["b", None]
+
+
+def test_tokens_keep_letters_of_any_script_and_repeats(spark):
+    from tallyweave.functions.text import tokens
+
+    df = spark.createDataFrame([("für Menté Straße garçon straße el-niño 12ab",)], "t string")
+    assert df.select(tokens("t", 3)).first()[0] == ["für", "menté", "straße", "garçon", "straße", "niño"]
+    assert df.select(tokens("t", 3, stop=["für"])).first()[0] == ["menté", "straße", "garçon", "straße", "niño"]

@@ -49,3 +49,10 @@ def test_mode_ties_take_the_smallest(spark):
     df = spark.createDataFrame([("a", "y"), ("a", "x"), ("b", None), ("b", "z")], "k string, v string")
     assert sorted(tuple(r) for r in Q.group_modes(df, ["k"], "v").collect()) == [("a", "x"), ("b", "z")]
     assert Q.column_modes(df, ["k", "v"]) == {"k": "a", "v": "x"}
+
+
+def test_infinities_are_left_out(spark):
+    from tallyweave.operators.quantiles import value_counts
+
+    df = spark.createDataFrame([(1.0,), (float("inf"),), (float("-inf"),), (float("nan"),), (None,)], "x double")
+    assert [(r["value"], r["n"]) for r in value_counts(df, [], ["x"]).collect()] == [(1.0, 1)]
