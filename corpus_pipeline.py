@@ -14,6 +14,7 @@ All stages take null keys and texts, repeated rows, extra columns and empty tabl
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,25 +25,50 @@ from tallyweave.llm.mixing import mix_sources
 from tallyweave.llm.sharding import shard_documents
 from tallyweave.llm.simhash import drop_near_duplicates
 from tallyweave.llm.toxicity import drop_toxic
-from tallyweave.session import staged
+from tallyweave.session import drop_staged, staged, staged_paths
 
 
+_WORK: list[str] = []  # tables that the latest stage wrote for itself
+
+
+def _stage(fn):
+    """Before a stage starts, drop what the one before it wrote for itself: its result is a table by then.
+
+    A frame that a stage returned is thus good until the next stage is called.
+    """
+
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_staged(spark, _WORK)
+        before = set(staged_paths())
+        out = fn(spark, docs, sf_dir)
+        _WORK[:] = [p for p in staged_paths() if p not in before]
+        return out
+
+    return run_stage
+
+
+@_stage
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix_sources(docs).select(*[f"`{c}`" for c in docs.columns])
 
 
+@_stage
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The columns of ``docs`` with size, text_crc32, law, shard, slot and grown_shard."""
     return shard_documents(docs, keep=docs.columns)

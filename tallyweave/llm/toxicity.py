@@ -203,7 +203,7 @@ def train(
 
     found = rows.mapInArrow(terms, schema).repartition(1).sortWithinPartitions("key", F.xxhash64("terms"))
     dumped = found.mapInArrow(fit, "machine binary").first()
-    return Machine.load(bytes(dumped["machine"]))
+    return Machine.load(bytes(dumped["machine"])) if dumped else fit_machine([], np.zeros(0))
 
 
 def _scored(docs: DataFrame, machine: Machine, keep: list[str], text: str) -> DataFrame:
