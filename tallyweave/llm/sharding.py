@@ -48,7 +48,10 @@ def _admission(asked: list, room: list[int]) -> dict[tuple[int, int], float]:
 
 
 def propagate(linked: DataFrame, sizes: list[int], capacity: int, rounds: int, seed: int) -> DataFrame:
-    """Move labels of ``linked`` (row_id, group, label) towards those of their groups, within ``capacity``."""
+    """Move labels of ``linked`` (row_id, group, label) towards those of their groups.
+
+    ``sizes``: linked rows by shard; ``capacity``: how many a shard may take.
+    """
     shards = len(sizes)
     for turn in range(rounds):
         room = [max(0, capacity - n) for n in sizes]
@@ -154,7 +157,6 @@ def shard_documents(
     docs: DataFrame,
     shards: int = 16,
     rounds: int = 8,
-    slack: float = 0.02,
     seed: int = 11,
     key: str = "doc_id",
     text: str = "text",
@@ -162,8 +164,7 @@ def shard_documents(
 ) -> DataFrame:
     """``keep`` (default: ``key``) with size, text_crc32, law (``rows``), shard, slot and grown_shard (null).
 
-    Counts of any two shards differ by one at most. ``slack``: how far above the mean a shard may grow
-    while labels move. A null text counts as the empty text (size 1, crc32 0). Repeated rows are rows of
+    Counts of any two shards differ by one at most. A null text counts as the empty text (size 1, crc32 0). Repeated rows are rows of
     their own. Null keys are allowed, input columns named like the added ones are replaced, and an empty
     table gives no rows.
     """
@@ -182,16 +183,16 @@ def shard_documents(
     start = F.pmod(F.xxhash64("row_id", F.lit(seed)), F.lit(shards)).cast("int")
     groups = rows.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
     linked = staged(rows.join(groups, "group").select("row_id", "group", start.alias("label")), "shard-labels")
-    sizes = sizes_of(rows.select(start.alias("label")), "label", shards)
-    total = sum(sizes)
-    linked = propagate(linked, sizes, math.ceil(total / shards * (1 + slack)), rounds, seed)
+    # Linked rows may fill a shard: unlinked rows have no links to lose, and make room at the end.
+    capacity = max(1, rows.count() // shards)
+    linked = propagate(linked, sizes_of(linked, "label", shards), capacity, rounds, seed)
     labels = rows.select("row_id", start.alias("start")).join(
         linked.select("row_id", "label"), "row_id", "left"
     )
     labels = labels.select(
         "row_id", F.col("label").isNotNull().alias("linked"), F.coalesce("label", "start").alias("label")
     )
-    placed = _place_exactly(labels, sizes)
+    placed = _place_exactly(labels, sizes_of(labels, "label", shards))
     return rows.join(placed, "row_id").select(
         "kept.*",
         "size",
