@@ -13,6 +13,7 @@ gives about m links, not m * m / 2, and no link between components is lost.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterable, Iterator
@@ -29,6 +30,7 @@ from tallyweave.llm.graph import components
 from tallyweave.session import staged
 
 CODE = 100_000  # cell coordinates are digits to this base
+LINKS = 50_000  # links that a task passes on at a time
 
 
 def shingles(words: list[bytes], k: int) -> list[bytes]:
@@ -166,31 +168,36 @@ def link_classes(
     tile_rows: int = 2048,
     each: int = 0,
     id_bytes: int = 16,
+    across: str | None = None,
 ) -> DataFrame:
     """Links (a, b, bits) between classes (id, fingerprint, n_shingles) within ``radius`` bits.
 
     ``id`` is a string of hex digits for ``id_bytes`` bytes. The links of each tile pair are thinned to a
     spanning forest, with the ``each`` nearest links of every class added. ``parts``: the fingerprint is cut
     into so many parts for the population counts. ``width``: counts per cell. ``least_similarity``: shingle
-    sets of sizes that already rule it out are not compared.
+    sets of sizes that already rule it out are not compared. ``across``: a column like ``id`` that names the
+    group of a class; then all links between classes of different groups are returned, none thinned out.
     """
     shrink = -math.log(least_similarity) if least_similarity else None
-    record = np.dtype([("size", "<u8"), ("print", ">u8", (words,)), ("id", f"V{id_bytes}")])
+    record = np.dtype(
+        [("size", "<u8"), ("print", ">u8", (words,)), ("id", f"V{id_bytes}"), ("group", "u1", (id_bytes if across else 0,))]
+    )
 
     def cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("id", "fingerprint", "n_shingles")]
+            columns = [batch.column(c).to_pylist() for c in ("id", "fingerprint", "n_shingles", "group")]
             codes, packed = [], []
-            for name, print_, size in zip(*columns, strict=True):
+            for name, print_, size, group in zip(*columns, strict=True):
                 code = 1 + int(math.log(max(1, size)) / shrink) if shrink else 1
                 step = len(print_) // parts
                 for p in range(parts):
                     code = code * CODE + int(print_[p * step : (p + 1) * step], 16).bit_count() // width + 1
                 codes.append(str(code))
-                packed.append(size.to_bytes(8, "little") + bytes.fromhex(print_) + bytes.fromhex(name))
+                packed.append(size.to_bytes(8, "little") + bytes.fromhex(print_ + name + group))
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), pa.array(codes)], names=["packed", "cell"])
 
-    rows = classes.select("id", "fingerprint", "n_shingles").mapInArrow(cells, "packed binary, cell string")
+    group = F.col(across) if across else F.lit("")
+    rows = classes.select("id", "fingerprint", "n_shingles", group.alias("group")).mapInArrow(cells, "packed binary, cell string")
     # With a size coordinate a code may exceed a long, so codes are decimals.
     rows = staged(rows.withColumn("cell", F.col("cell").cast("decimal(38,0)")), "simhash-classes")
     counts = staged(
@@ -236,7 +243,6 @@ def link_classes(
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = pa.schema([("a", pa.string()), ("b", pa.string()), ("bits", pa.int32())])
         for batch in batches:
-            found = {"a": [], "b": [], "bits": []}
             for blob, blob2 in zip(batch.column("one"), batch.column("two"), strict=True):
                 one = np.frombuffer(blob.as_py(), dtype=record)
                 two = np.frombuffer(blob2.as_py(), dtype=record) if blob2.is_valid else None
@@ -248,16 +254,23 @@ def link_classes(
                     x, y = one["size"][i], other["size"][j]
                     keep = np.minimum(x, y) >= least_similarity * np.maximum(x, y)
                     i, j, d = i[keep], j[keep], d[keep]
-                if not len(i):
+                if across:
+                    kept = np.flatnonzero((one["group"][i] != other["group"][j]).any(axis=1))
+                elif len(i):
+                    shift = 0 if two is None else len(one)
+                    kept = nearest_forest(i, j + shift, d, shift + len(other))
+                    if each:
+                        kept = np.union1d(kept, nearest_of_each(i, j + shift, d, each))
+                else:
                     continue
-                shift = 0 if two is None else len(one)
-                kept = nearest_forest(i, j + shift, d, shift + len(other))
-                if each:
-                    kept = np.union1d(kept, nearest_of_each(i, j + shift, d, each))
-                found["a"] += [x.tobytes().hex() for x in one["id"][i[kept]]]
-                found["b"] += [x.tobytes().hex() for x in other["id"][j[kept]]]
-                found["bits"] += d[kept].tolist()
-            yield pa.RecordBatch.from_pydict(found, schema=out)
+                for at in range(0, len(kept), LINKS):
+                    some = kept[at : at + LINKS]
+                    found = {
+                        "a": [x.tobytes().hex() for x in one["id"][i[some]]],
+                        "b": [x.tobytes().hex() for x in other["id"][j[some]]],
+                        "bits": d[some].tolist(),
+                    }
+                    yield pa.RecordBatch.from_pydict(found, schema=out)
 
     return work.mapInArrow(compare, "a string, b string, bits int")
 
@@ -266,10 +279,14 @@ def verified(links: DataFrame, texts: DataFrame, shingle: int, least: float) ->
     """Links whose texts (id, text) have shingle sets with a Jaccard similarity of at least ``least``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        @functools.lru_cache(maxsize=2)  # rows come sorted by b
+        def parts(text: bytes) -> frozenset:
+            return frozenset(shingles(text.translate(LOWER).split(), shingle))
+
         for batch in batches:
             kept = []
             for x, y in zip(batch.column("text_a"), batch.column("text_b"), strict=True):
-                one, two = (set(shingles(t.as_py().translate(LOWER).split(), shingle)) for t in (x, y))
+                one, two = parts(x.as_py()), parts(y.as_py())
                 kept.append(len(one & two) >= least * len(one | two))
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
@@ -313,7 +330,8 @@ def drop_near_duplicates(
     Links: fingerprints of ``words`` x 64 bits within ``radius``, confirmed on the shingle sets. At a
     similarity of 0.8 the bits differ by 39 on average with a deviation of 5.7, so a radius of 52 of 256
     finds 99 of 100 such pairs and nearly all above, while texts without common shingles differ by 128.
-    Of the links that tie the same texts together the nearest ones are confirmed, three a text at least.
+    The links nearest to each other are confirmed first (a spanning forest and three a text); then all links
+    between texts that these have not joined, so no link that would join groups is left unread.
     Of a group the row with the least key stays, null keys last; of repeated rows one stays. Null and empty
     texts are one group. No column name is reserved.
     """
@@ -330,12 +348,21 @@ def drop_near_duplicates(
     classes = prints.groupBy("id").agg(
         F.min("fingerprint").alias("fingerprint"), F.min("n_shingles").alias("n_shingles"), F.min("row_id").alias("row_id")
     )
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     links = staged(
-        link_classes(classes, radius, words, 1, radius + 1, least_similarity, each=3).drop("bits"), "simhash-links"
+        link_classes(classes, radius, words, 1, radius + 1, least_similarity, each=3).select(*ordered), "simhash-links"
     )
     ends = staged(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes, "id").select("row_id"), "simhash-ends")
     texts = staged(rows.join(if_small(ends), "row_id").select("id", "text"), "simhash-texts")
-    roots = components(verified(links, texts, shingle, least_similarity)).withColumnRenamed("node", "id")
+    confirmed = staged(verified(links, texts, shingle, least_similarity), "simhash-confirmed")
+    joined = components(confirmed).withColumnRenamed("node", "id")
+    # Every class with a link within the radius is an end of the forest, so these are all that can have more.
+    apart = texts.select("id").distinct().join(classes, "id").join(joined, "id", "left")
+    apart = apart.withColumn("root", F.coalesce("root", "id"))
+    more = link_classes(apart, radius, words, 1, radius + 1, least_similarity, across="root").select(*ordered)
+    more = staged(more.join(links, ["a", "b"], "left_anti"), "simhash-more")
+    confirmed = confirmed.union(verified(more, texts, shingle, least_similarity))
+    roots = components(confirmed).withColumnRenamed("node", "id")
 
     grouped = prints.select("row_id", "key", "id").join(roots, "id", "left")
     grouped = grouped.select("row_id", "key", F.coalesce("root", "id").alias("root"))

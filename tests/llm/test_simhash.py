@@ -137,3 +137,28 @@ def test_one_of_each_group_stays(spark):
         if k is not None:
             least[g] = min(k, least.get(g, k))
     assert {r["row_id"]: r["doc_id"] for r in kept} == least
+
+
+def test_links_that_only_farther_pairs_confirm(spark):
+    """Families of edits around the least similarity: many of the nearest links fail, yet no confirmed one is lost."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for family in range(6):
+        base = [f"f{family}w{k}" for k in range(120)]
+        for _ in range(40):
+            words = list(base)
+            for at in rng.integers(0, 120, rng.integers(1, 5)):
+                words[at] = f"x{rng.integers(0, 10**9)}"
+            rows.append((len(rows), " ".join(words)))
+    parts = [S.shingles(t.encode().split(), 5) for _, t in rows]
+    prints = [int("".join(f"{x:016x}" for x in S.fingerprint(p, range(42, 46)).tolist()), 16) for p in parts]
+    sets = [set(p) for p in parts]
+    links = [
+        (i, j)
+        for i in range(len(rows))
+        for j in range(i)
+        if (prints[i] ^ prints[j]).bit_count() <= 52 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in S.drop_near_duplicates(docs).collect())
+    assert kept == sorted(set(plain_components(len(rows), links)))
