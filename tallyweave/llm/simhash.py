@@ -30,7 +30,6 @@ from tallyweave.llm.graph import components
 from tallyweave.session import staged
 
 CODE = 100_000  # cell coordinates are digits to this base
-LINKS = 50_000  # links that a task passes on at a time
 
 
 def shingles(words: list[bytes], k: int) -> list[bytes]:
@@ -168,36 +167,31 @@ def link_classes(
     tile_rows: int = 2048,
     each: int = 0,
     id_bytes: int = 16,
-    across: str | None = None,
 ) -> DataFrame:
     """Links (a, b, bits) between classes (id, fingerprint, n_shingles) within ``radius`` bits.
 
     ``id`` is a string of hex digits for ``id_bytes`` bytes. The links of each tile pair are thinned to a
     spanning forest, with the ``each`` nearest links of every class added. ``parts``: the fingerprint is cut
     into so many parts for the population counts. ``width``: counts per cell. ``least_similarity``: shingle
-    sets of sizes that already rule it out are not compared. ``across``: a column like ``id`` that names the
-    group of a class; then all links between classes of different groups are returned, none thinned out.
+    sets of sizes that already rule it out are not compared.
     """
     shrink = -math.log(least_similarity) if least_similarity else None
-    record = np.dtype(
-        [("size", "<u8"), ("print", ">u8", (words,)), ("id", f"V{id_bytes}"), ("group", "u1", (id_bytes if across else 0,))]
-    )
+    record = np.dtype([("size", "<u8"), ("print", ">u8", (words,)), ("id", f"V{id_bytes}")])
 
     def cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("id", "fingerprint", "n_shingles", "group")]
+            columns = [batch.column(c).to_pylist() for c in ("id", "fingerprint", "n_shingles")]
             codes, packed = [], []
-            for name, print_, size, group in zip(*columns, strict=True):
+            for name, print_, size in zip(*columns, strict=True):
                 code = 1 + int(math.log(max(1, size)) / shrink) if shrink else 1
                 step = len(print_) // parts
                 for p in range(parts):
                     code = code * CODE + int(print_[p * step : (p + 1) * step], 16).bit_count() // width + 1
                 codes.append(str(code))
-                packed.append(size.to_bytes(8, "little") + bytes.fromhex(print_ + name + group))
+                packed.append(size.to_bytes(8, "little") + bytes.fromhex(print_) + bytes.fromhex(name))
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), pa.array(codes)], names=["packed", "cell"])
 
-    group = F.col(across) if across else F.lit("")
-    rows = classes.select("id", "fingerprint", "n_shingles", group.alias("group")).mapInArrow(cells, "packed binary, cell string")
+    rows = classes.select("id", "fingerprint", "n_shingles").mapInArrow(cells, "packed binary, cell string")
     # With a size coordinate a code may exceed a long, so codes are decimals.
     rows = staged(rows.withColumn("cell", F.col("cell").cast("decimal(38,0)")), "simhash-classes")
     counts = staged(
@@ -243,6 +237,7 @@ def link_classes(
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = pa.schema([("a", pa.string()), ("b", pa.string()), ("bits", pa.int32())])
         for batch in batches:
+            found = {"a": [], "b": [], "bits": []}
             for blob, blob2 in zip(batch.column("one"), batch.column("two"), strict=True):
                 one = np.frombuffer(blob.as_py(), dtype=record)
                 two = np.frombuffer(blob2.as_py(), dtype=record) if blob2.is_valid else None
@@ -254,23 +249,16 @@ def link_classes(
                     x, y = one["size"][i], other["size"][j]
                     keep = np.minimum(x, y) >= least_similarity * np.maximum(x, y)
                     i, j, d = i[keep], j[keep], d[keep]
-                if across:
-                    kept = np.flatnonzero((one["group"][i] != other["group"][j]).any(axis=1))
-                elif len(i):
-                    shift = 0 if two is None else len(one)
-                    kept = nearest_forest(i, j + shift, d, shift + len(other))
-                    if each:
-                        kept = np.union1d(kept, nearest_of_each(i, j + shift, d, each))
-                else:
+                if not len(i):
                     continue
-                for at in range(0, len(kept), LINKS):
-                    some = kept[at : at + LINKS]
-                    found = {
-                        "a": [x.tobytes().hex() for x in one["id"][i[some]]],
-                        "b": [x.tobytes().hex() for x in other["id"][j[some]]],
-                        "bits": d[some].tolist(),
-                    }
-                    yield pa.RecordBatch.from_pydict(found, schema=out)
+                shift = 0 if two is None else len(one)
+                kept = nearest_forest(i, j + shift, d, shift + len(other))
+                if each:
+                    kept = np.union1d(kept, nearest_of_each(i, j + shift, d, each))
+                found["a"] += [x.tobytes().hex() for x in one["id"][i[kept]]]
+                found["b"] += [x.tobytes().hex() for x in other["id"][j[kept]]]
+                found["bits"] += d[kept].tolist()
+            yield pa.RecordBatch.from_pydict(found, schema=out)
 
     return work.mapInArrow(compare, "a string, b string, bits int")
 
@@ -280,8 +268,8 @@ def verified(links: DataFrame, texts: DataFrame, shingle: int, least: float) ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         @functools.lru_cache(maxsize=2)  # rows come sorted by b
-        def parts(text: bytes) -> frozenset:
-            return frozenset(shingles(text.translate(LOWER).split(), shingle))
+        def parts(body: bytes) -> frozenset:
+            return frozenset(shingles(body.translate(LOWER).split(), shingle))
 
         for batch in batches:
             kept = []
@@ -296,6 +284,111 @@ def verified(links: DataFrame, texts: DataFrame, shingle: int, least: float) ->
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a string, b string")
 
 
+def shared_parts(one: list[np.ndarray], two: list[np.ndarray], block: int = 1 << 13) -> np.ndarray:
+    """Size of the intersection of each set of ``one`` with each of ``two`` (sorted hashes), by matrix products."""
+
+    def marks(sets: list[np.ndarray], some: np.ndarray) -> np.ndarray:
+        grid = np.zeros((len(sets), len(some)), dtype=np.float32)
+        for row, every in enumerate(sets):
+            low, high = np.searchsorted(every, some[0]), np.searchsorted(every, some[-1], "right")
+            at = np.searchsorted(some, every[low:high])
+            grid[row, at[some[at] == every[low:high]]] = 1
+        return grid
+
+    out = np.zeros((len(one), len(two)), dtype=np.int64)
+    known = np.intersect1d(np.concatenate(one), np.concatenate(two))
+    for at in range(0, len(known), block):
+        some = known[at : at + block]
+        out += (marks(one, some) @ marks(two, some).T).astype(np.int64)
+    return out
+
+
+def links_apart(
+    classes: DataFrame,
+    texts: DataFrame,
+    shingle: int,
+    least: float,
+    radius: int,
+    words: int,
+    tile_rows: int = 256,
+    tile_bytes: int = 4 << 20,
+) -> DataFrame:
+    """Links (a, b) within ``radius`` bits and of ``least`` similarity between classes of one ``raw`` but two roots.
+
+    ``classes``: id, fingerprint, n_shingles, raw, root; ``texts``: id, text. The classes of a raw component
+    are cut by size, and by root where a root has many, into tiles of bounded rows and bytes. A tile holds the
+    64-bit hashes of the shingles, so all pairs of two tiles are confirmed by matrix products within one row, and
+    only a spanning forest of the confirmed links leaves it. Tiles of one root are not compared.
+    """
+    shrink = -math.log(least)
+    sized = classes.withColumn("size", F.floor(F.log(F.greatest("n_shingles", F.lit(1))) / F.lit(shrink)).cast("int"))
+    roots = sized.groupBy("raw", "size", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("held"))
+    home = F.when(F.col("n") >= tile_rows // 4, F.col("root")).otherwise("")
+    homes = staged(roots.withColumn("home", home), "simhash-homes")
+    n_tiles = F.greatest(F.ceil(F.sum("n") / tile_rows), F.ceil(F.sum("held") * 8 / tile_bytes)).cast("int")
+    counts = homes.groupBy("raw", "size", "home").agg(n_tiles.alias("n_tiles"))
+
+    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for body in batch.column("body"):
+                found = {xxhash.xxh64_intdigest(x) for x in shingles(body.as_py().translate(LOWER).split(), shingle)}
+                parts.append(np.sort(np.fromiter(found, dtype="<u8", count=len(found))).tobytes())
+            yield batch.drop_columns(["body"]).append_column("parts", pa.array(parts, pa.binary()))
+
+    key = ["raw", "size", "home", "tile"]
+    dealt = sized.join(homes.select("raw", "size", "root", "home"), ["raw", "size", "root"]).join(
+        counts, ["raw", "size", "home"]
+    )
+    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("n_tiles")).cast("int"))
+    dealt = dealt.select(*key, "id", "root", "fingerprint").join(texts.select("id", utf8(F.col("text")).alias("body")), "id")
+    row = T.StructType([*dealt.drop("body").schema.fields, T.StructField("parts", T.BinaryType())])
+    rows = F.collect_list(F.struct("id", "root", "fingerprint", "parts")).alias("rows")
+    tiles = staged(dealt.mapInArrow(hashed, row).groupBy(*key).agg(rows), "simhash-apart-tiles")
+
+    here = tiles.select("raw", "size", F.struct("home", "tile").alias("x"), F.explode(F.array(F.lit(0), F.lit(1))).alias("step"))
+    there = tiles.select("raw", F.col("size").alias("size2"), F.struct("home", "tile").alias("y"))
+    one_root = (F.col("x.home") != "") & (F.col("x.home") == F.col("y.home"))
+    pairs = here.withColumn("size2", F.col("size") + F.col("step")).join(there, ["raw", "size2"])
+    pairs = pairs.where(((F.col("step") == 1) | (F.col("x") <= F.col("y"))) & ~one_root)
+    own = (F.col("step") == 0) & (F.col("x") == F.col("y"))
+    named = lambda size, at, name: tiles.select(
+        "raw", F.col("size").alias(size), F.struct("home", "tile").alias(at), F.col("rows").alias(name)
+    )
+    work = pairs.withColumn("own", own).join(named("size", "x", "one"), ["raw", "size", "x"])
+    work = work.join(named("size2", "y", "two"), ["raw", "size2", "y"])
+    work = work.select("one", F.when(~F.col("own"), F.col("two")).alias("two"))
+
+    def unpacked(rows: list) -> tuple:
+        prints = np.frombuffer(bytes.fromhex("".join(r["fingerprint"] for r in rows)), dtype=">u8")
+        parts = [np.frombuffer(r["parts"], dtype="<u8") for r in rows]
+        sizes = np.array([len(x) for x in parts])
+        return prints.reshape(-1, words).astype(np.uint64), np.array([r["root"] for r in rows]), parts, sizes
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = pa.schema([("a", pa.string()), ("b", pa.string())])
+        for batch in batches:
+            for x, y in zip(batch.column("one"), batch.column("two"), strict=True):
+                one = x.as_py()
+                two = y.as_py() if y.is_valid else one
+                (prints, root, parts, size), (prints2, root2, parts2, size2) = unpacked(one), unpacked(two)
+                i, j, d = tile_links(prints, prints2 if y.is_valid else None, radius)
+                keep = root[i] != root2[j]
+                i, j, d = i[keep], j[keep], d[keep]
+                if not len(i):
+                    continue
+                (u, at), (v, at2) = np.unique(i, return_inverse=True), np.unique(j, return_inverse=True)
+                shared = shared_parts([parts[k] for k in u], [parts2[k] for k in v])[at, at2]
+                keep = shared >= least * (size[i] + size2[j] - shared)
+                i, j, d = i[keep], j[keep], d[keep]
+                shift = len(one) if y.is_valid else 0
+                kept = nearest_forest(i, j + shift, d, shift + len(two))
+                found = {"a": [one[k]["id"] for k in i[kept]], "b": [two[k]["id"] for k in j[kept]]}
+                yield pa.RecordBatch.from_pydict(found, schema=out)
+
+    return work.mapInArrow(compare, "a string, b string")
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2
 ) -> DataFrame:
@@ -330,8 +423,8 @@ def drop_near_duplicates(
     Links: fingerprints of ``words`` x 64 bits within ``radius``, confirmed on the shingle sets. At a
     similarity of 0.8 the bits differ by 39 on average with a deviation of 5.7, so a radius of 52 of 256
     finds 99 of 100 such pairs and nearly all above, while texts without common shingles differ by 128.
-    The links nearest to each other are confirmed first (a spanning forest and three a text); then all links
-    between texts that these have not joined, so no link that would join groups is left unread.
+    The links nearest to each other are confirmed first (a spanning forest and three a text), then all links
+    between texts that these have not joined (``links_apart``), so no link that would join groups is left out.
     Of a group the row with the least key stays, null keys last; of repeated rows one stays. Null and empty
     texts are one group. No column name is reserved.
     """
@@ -348,20 +441,20 @@ def drop_near_duplicates(
     classes = prints.groupBy("id").agg(
         F.min("fingerprint").alias("fingerprint"), F.min("n_shingles").alias("n_shingles"), F.min("row_id").alias("row_id")
     )
-    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     links = staged(
-        link_classes(classes, radius, words, 1, radius + 1, least_similarity, each=3).select(*ordered), "simhash-links"
+        link_classes(classes, radius, words, 1, radius + 1, least_similarity, each=3).drop("bits"), "simhash-links"
     )
     ends = staged(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes, "id").select("row_id"), "simhash-ends")
     texts = staged(rows.join(if_small(ends), "row_id").select("id", "text"), "simhash-texts")
     confirmed = staged(verified(links, texts, shingle, least_similarity), "simhash-confirmed")
+    # The links span all pairs within the radius: more of them can only lie within one of their components.
+    raw = components(links).select(F.col("node").alias("id"), F.col("root").alias("raw"))
     joined = components(confirmed).withColumnRenamed("node", "id")
-    # Every class with a link within the radius is an end of the forest, so these are all that can have more.
-    apart = texts.select("id").distinct().join(classes, "id").join(joined, "id", "left")
-    apart = apart.withColumn("root", F.coalesce("root", "id"))
-    more = link_classes(apart, radius, words, 1, radius + 1, least_similarity, across="root").select(*ordered)
-    more = staged(more.join(links, ["a", "b"], "left_anti"), "simhash-more")
-    confirmed = confirmed.union(verified(more, texts, shingle, least_similarity))
+    nodes = texts.select("id").join(classes.drop("row_id"), "id").join(raw, "id", "left").join(joined, "id", "left")
+    nodes = nodes.withColumns({"raw": F.coalesce("raw", "id"), "root": F.coalesce("root", "id")})
+    split = nodes.groupBy("raw").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most")
+    nodes = staged(nodes.join(split.select("raw"), "raw"), "simhash-apart")
+    confirmed = confirmed.union(links_apart(nodes, texts, shingle, least_similarity, radius, words))
     roots = components(confirmed).withColumnRenamed("node", "id")
 
     grouped = prints.select("row_id", "key", "id").join(roots, "id", "left")
