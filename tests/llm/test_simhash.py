@@ -162,3 +162,44 @@ def test_links_that_only_farther_pairs_confirm(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = sorted(r["doc_id"] for r in S.drop_near_duplicates(docs).collect())
     assert kept == sorted(set(plain_components(len(rows), links)))
+
+
+def test_shared_parts():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (0, 1, 20, 50, 200)]
+    want = [[len(set(x.tolist()) & set(y.tolist())) for y in sets[1:]] for x in sets]
+    for block in (7, 8192):
+        assert S.shared_parts(sets, sets[1:], block).tolist() == want
+
+
+@pytest.mark.parametrize("tile_rows", [8, 256])
+def test_links_apart_join_what_all_pairs_join(spark, tile_rows):
+    """Many tiles, a root with tiles of its own, and single texts beside it."""
+    rng = np.random.default_rng(7)
+    texts = []
+    for _ in range(60):
+        words = [f"w{k}" for k in range(100)]
+        for at in rng.integers(0, 100, rng.integers(1, 4)):
+            words[at] = f"x{rng.integers(0, 10**9)}"
+        texts.append(" ".join(words[: rng.integers(84, 101)]))
+    sets = [set(S.shingles(t.encode().split(), 5)) for t in texts]
+    prints = ["".join(f"{x:016x}" for x in S.fingerprint(sorted(p), range(42, 46)).tolist()) for p in sets]
+    root = [0 if i < 30 else i for i in range(60)]
+    links = [
+        (i, j)
+        for i in range(60)
+        for j in range(i)
+        if root[i] != root[j]
+        and (int(prints[i], 16) ^ int(prints[j], 16)).bit_count() <= 70
+        and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    ]
+    name = lambda i: f"{i:032x}"
+    rows = [(name(i), prints[i], len(sets[i]), "raw", name(root[i])) for i in range(60)]
+    classes = spark.createDataFrame(rows, "id string, fingerprint string, n_shingles long, raw string, root string")
+    frame = spark.createDataFrame([(name(i), t) for i, t in enumerate(texts)], "id string, text string")
+    found = S.links_apart(classes, frame, 5, 0.8, 70, 4, tile_rows=tile_rows).collect()
+    got = [(int(r["a"], 16), int(r["b"], 16)) for r in found]
+    assert {tuple(sorted(x, reverse=True)) for x in got} <= set(links)
+    same = [(0, i) for i in range(30)]
+    assert plain_components(60, got + same) == plain_components(60, links + same)
+    assert links and len(set(plain_components(60, links + same))) < 31
