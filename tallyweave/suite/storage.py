@@ -99,15 +99,25 @@ def src_cached_dataset(t):
     return R.cached_dataset(t.spark, path, build)
 
 
-@query("src_binary")
+@query(
+    "src_binary",
+    """SELECT c_mktsegment AS label, c_custkey::VARCHAR || '|' || c_name AS line, sha256(c_name) AS name_sha256
+       FROM customer""",
+)
 def src_binary(t):
-    """The table files themselves as binary rows; content is not asked for here, so it is not read."""
-    files = R.read_binary(t.spark, t.sf_dir, "*.parquet")
-    return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.element_at(F.split("path", "/"), -2).alias("label"),
-        "length",
+    """Files in one folder per label, read as binary rows; the lines come from the content, the label from the path."""
+    path = scratch_path(t.spark, "binary")
+    line = F.concat_ws("|", F.col("c_custkey").cast("string"), "c_name").alias("line")
+    rows = t.customer.select("c_mktsegment", line)
+    # A file is one binary row, so its size is bounded.
+    rows.write.partitionBy("c_mktsegment").option("maxRecordsPerFile", 100_000).text(path)
+    files = R.read_binary(t.spark, path, "*.txt")
+    lines = files.where("length = octet_length(content)").select(
+        F.element_at(F.split(F.element_at(F.split("path", "/"), -2), "="), -1).alias("label"),
+        F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line"),
     )
+    name = F.element_at(F.split("line", r"\|"), 2)
+    return lines.where("line <> ''").select("label", "line", F.sha2(name, 256).alias("name_sha256"))
 
 
 def _answers(t):
