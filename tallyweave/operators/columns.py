@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.functions.numeric import exact_sum, rescale_mass
+from tallyweave.session import staged
 
 NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
@@ -78,16 +79,17 @@ def composite_index(df: DataFrame, pc: str, net: str, gdp: str, adult: str, youn
     person = q(pc) * q(net) + q(net) * 100 * q(gdp) / top
     if full:
         person = person + q(pc) * 100 * q(gdp) / top
-    raw = df.withColumn("person_raw", person)
-    low, high = raw.agg(F.min("person_raw")).scalar(), raw.agg(F.max("person_raw")).scalar()
-    scaled = raw.withColumn("person_index", F.coalesce(F.try_divide(F.col("person_raw") - low, high - low), F.lit(0.0)))
-    overall = scaled.withColumn(
-        "overall_raw", F.bround(F.col("person_index") * F.sqrt(q(adult) + 0.25 * q(young)))
-    )
-    low, high = overall.agg(F.min("overall_raw")).scalar(), overall.agg(F.max("overall_raw")).scalar()
-    return overall.withColumn(
-        "overall_index", F.coalesce(F.try_divide(F.col("overall_raw") - low, high - low), F.lit(0.0))
-    ).drop("person_raw", "overall_raw")
+    bounds = lambda d, c: d.agg(F.struct(F.min(c).alias("low"), F.max(c).alias("high"))).scalar()
+    # Written once each, so a step does not repeat the steps before it in its bounds.
+    raw = staged(df.withColumn("person_raw", person), "index-person")
+    span = bounds(raw, "person_raw")
+    share = F.try_divide(F.col("person_raw") - span["low"], span["high"] - span["low"])
+    scaled = raw.withColumn("person_index", F.coalesce(share, F.lit(0.0)))
+    overall = F.bround(F.col("person_index") * F.sqrt(q(adult) + 0.25 * q(young)))
+    overall = staged(scaled.withColumn("overall_raw", overall), "index-overall")
+    span = bounds(overall, "overall_raw")
+    share = F.try_divide(F.col("overall_raw") - span["low"], span["high"] - span["low"])
+    return overall.withColumn("overall_index", F.coalesce(share, F.lit(0.0))).drop("person_raw", "overall_raw")
 
 
 def scaled_by_max(df: DataFrame, columns) -> DataFrame:

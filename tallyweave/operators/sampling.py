@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SPLIT_BUCKETS = 1 << 16  # buckets of the hash of an id; a class has at most so many
+
 
 def unit_hash(id_col, salt: str = "") -> Column:
     """Number in [0, 1) that depends on the id only."""
@@ -33,6 +35,32 @@ def hash_split(df: DataFrame, id_col, test_share: float, column: str = "split")
     return df.withColumn(column, F.when(unit_hash(id_col, "split") < test_share, "test").otherwise("train"))
 
 
+def stratified_split(df: DataFrame, id_col: str, by: str, test_share: float, column: str = "split") -> DataFrame:
+    """Adds ``train`` / ``test`` with exact class shares: of n rows of a class, test_share * n (rounded half up) are test.
+
+    The rows with the least (hash, id) of a class are test. Counts per class and hash bucket say in which bucket
+    that ends; only this bucket is sorted, so no class is ever held in one task. Null classes are one class.
+    """
+    place = unit_hash(id_col, "split")
+    rows = df.select(
+        F.col(by).alias("_class"), place.alias("_place"), F.col(id_col).alias("_id"), F.floor(place * SPLIT_BUCKETS).alias("_bucket")
+    )
+    counts = rows.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
+    wanted = F.floor(F.sum("_n").over(Window.partitionBy("_class")) * F.lit(float(test_share)) + 0.5)
+    last = counts.select("_class", "_bucket", "_n", (wanted - upto + F.col("_n")).alias("_open"))
+    last = last.filter((F.col("_open") > 0) & (F.col("_open") <= F.col("_n"))).select(
+        F.col("_class").alias("_class2"), F.col("_bucket").alias("_bucket2"), "_open"
+    )
+    here = F.col("_class").eqNullSafe(F.col("_class2")) & (F.col("_bucket") == F.col("_bucket2"))
+    rank = F.row_number().over(Window.partitionBy("_class", "_bucket").orderBy("_place", "_id"))
+    edge = rows.join(last, here).withColumn("_rank", rank).filter("_rank = _open")
+    edge = edge.select(F.col("_class").alias("_class3"), F.struct("_place", "_id").alias("_edge"))
+    place_of = F.struct(place.alias("_place"), F.col(id_col).alias("_id"))
+    marked = df.join(edge, F.col(by).eqNullSafe(F.col("_class3")), "left")
+    return marked.withColumn(column, F.when(place_of <= F.col("_edge"), "test").otherwise("train")).drop("_class3", "_edge")
+
+
 def first_rows(df: DataFrame, n: int, *order) -> DataFrame:
     """First ``n`` rows of an order (TakeOrdered: each task keeps its own n)."""
     return df.orderBy(*order).limit(n)

@@ -180,7 +180,7 @@ def ml_pca_round_trip(t):
 
 @query("ml_kmeans")
 def ml_kmeans(t):
-    return K.kmeans_scan(t.embeddings, "embedding", range(2, 6))
+    return K.kmeans_scan(t.embeddings, "embedding", range(2, 16))
 
 
 @query(
@@ -362,7 +362,7 @@ def top_terms_per_topic(t):
 
 @query("ml_word2vec")
 def ml_word2vec(t):
-    _, docs = T.word_vectors(_tokenised(t), "tokens", size=32)
+    _, docs = T.word_vectors(_tokenised(t), "tokens", size=100)
     from pyspark.ml.functions import vector_to_array
 
     return docs.select("doc_id", vector_to_array("doc_vector").alias("v"))
@@ -457,7 +457,7 @@ def _split(df, row_id):
 @query("ml_regress_grid")
 def ml_regress_grid(t):
     train, test = _split(_order_rows(t), "o_orderkey")
-    return ML.regression_grid(train, test, "o_orderkey", "price", ["qty", "lines", "month"], folds=3)
+    return ML.regression_grid(train, test, "o_orderkey", "price", ["qty", "lines", "month"], folds=5)
 
 
 ORDER_ROWS = f"""
@@ -480,7 +480,7 @@ def ml_regress_baselines(t):
     """The two estimators of the grid whose result SQL can state."""
     rows = _order_rows(t).withColumn("price", F.col("price") / 1000)
     train, test = _split(rows, "o_orderkey")
-    out = ML.regression_grid(train, test, "o_orderkey", "price", ["qty", "lines"], names=("baseline", "knn"), folds=3)
+    out = ML.regression_grid(train, test, "o_orderkey", "price", ["qty", "lines"], names=("baseline", "knn"), folds=5)
     return out.select("estimator", F.round("r2", 6).alias("r2"), F.round("rmse", 6).alias("rmse"), "n")
 
 
@@ -489,7 +489,7 @@ def ml_target_log(t):
     train, test = _split(_order_rows(t), "o_orderkey")
     names = ("baseline", "linear")
     return ML.regression_grid(
-        train, test, "o_orderkey", "price", ["qty", "lines"], use_log=True, bounds=(0.0, 1e6), names=names, folds=3
+        train, test, "o_orderkey", "price", ["qty", "lines"], use_log=True, bounds=(0.0, 1e6), names=names, folds=5
     )
 
 
@@ -517,7 +517,7 @@ def _labelled_docs(t):
 
 @query("ml_classify_weighted")
 def ml_classify_weighted(t):
-    return ML.cross_validated_auc(_labelled_docs(t), "doc_id", "quality", ["chars", "blanks", "stops", "digits"], folds=3)
+    return ML.cross_validated_auc(_labelled_docs(t), "doc_id", "quality", ["chars", "blanks", "stops", "digits"], folds=5)
 
 
 SCORED = """sc AS (SELECT toxic AS y, LEAST(1.0::DOUBLE, n_chars / 1000.0::DOUBLE) AS s FROM labels JOIN documents USING (doc_id)),

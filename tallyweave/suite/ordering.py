@@ -237,6 +237,16 @@ def smp_split(t):
     return P.hash_split(t.customer, "c_custkey", 0.33).select("c_custkey", "split")
 
 
+@query(
+    "smp_split_stratified",
+    f"""WITH r AS (SELECT c_custkey, c_mktsegment, COUNT(*) OVER (PARTITION BY c_mktsegment) AS n,
+                          ROW_NUMBER() OVER (PARTITION BY c_mktsegment ORDER BY {_hash('c_custkey', 'split')}, c_custkey) AS k FROM customer)
+        SELECT c_custkey, c_mktsegment, CASE WHEN k <= FLOOR(n * 0.33::DOUBLE + 0.5::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM r""",
+)
+def smp_split_stratified(t):
+    return P.stratified_split(t.customer.select("c_custkey", "c_mktsegment"), "c_custkey", "c_mktsegment", 0.33)
+
+
 @query("smp_limit", "SELECT event_id, event_type FROM events WHERE event_type = 'error' ORDER BY event_id LIMIT 10")
 def smp_limit(t):
     return P.first_rows(t.events.filter("event_type = 'error'").select("event_id", "event_type"), 10, "event_id")
