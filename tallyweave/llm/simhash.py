@@ -53,11 +53,17 @@ def fingerprint(parts: list[bytes], seeds: range, block: int = 1 << 15) -> np.nd
 
 
 def fingerprints(
-    docs: DataFrame, keep: list[str], text: str = "text", shingle: int = 3, words: int = 1, seed: int = 42
+    docs: DataFrame,
+    keep: list[str],
+    text: str = "text",
+    shingle: int = 3,
+    words: int = 1,
+    seed: int = 42,
+    distinct: bool = False,
 ) -> DataFrame:
     """``keep`` with fingerprint (16 hex digits a word) and n_shingles (distinct ones), row by row.
 
-    Words are runs of anything but blanks and tabs to carriage returns, A-Z in lower case. A text of fewer
+    ``distinct``: a shingle counts once in the fingerprint, however often the text repeats it. Words are runs of anything but blanks and tabs to carriage returns, A-Z in lower case. A text of fewer
     words than a shingle is one shingle; a null or empty text has none and the fingerprint zero.
     """
     seeds = range(seed, seed + words)
@@ -67,8 +73,10 @@ def fingerprints(
             prints, sizes = [], []
             for body in batch.column("simhash_body"):
                 parts = shingles(body.as_py().translate(LOWER).split(), shingle)
-                prints.append("".join(f"{x:016x}" for x in fingerprint(parts, seeds).tolist()))
-                sizes.append(len(set(parts)))
+                each = set(parts)
+                counted = list(each) if distinct else parts
+                prints.append("".join(f"{x:016x}" for x in fingerprint(counted, seeds).tolist()))
+                sizes.append(len(each))
             kept = batch.drop_columns(["simhash_body"])
             columns = [*kept.columns, pa.array(prints, pa.string()), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept.schema.names, "fingerprint", "n_shingles"])
@@ -105,11 +113,60 @@ def nearest_forest(i: np.ndarray, j: np.ndarray, d: np.ndarray, n: int) -> np.nd
                 break
 
 
+def bit_share(a: int, b: int, least: float) -> float | None:
+    """Chance that a bit differs between sets of ``a`` and ``b`` shingles that are just ``least`` similar; None if none are."""
+    both = math.ceil(least * (a + b) / (1 + least) - 1e-9)
+    if both > min(a, b):
+        return None
+    ones = lambda n: np.array([math.comb(n, k) / 2**n for k in range(n + 1)])
+    shared = np.arange(both + 1)
+    # Chance of a set bit by the number of shared shingles that have it.
+    x, y = ((2 * (shared[:, None] + np.arange(n - both + 1)) > n) @ ones(n - both) for n in (a, b))
+    return float((ones(both) * (x * (1 - y) + y * (1 - x))).sum())
+
+
+def least_radius(share: float, bits: int, tail: float) -> int:
+    """Bits within which two fingerprints lie but for a chance of ``tail``, if each differs with chance ``share``."""
+    beyond = 0.0
+    for r in range(bits, 0, -1):
+        beyond += math.comb(bits, r) * share**r * (1 - share) ** (bits - r)
+        if beyond > tail:
+            return r
+    return 0
+
+
+@functools.lru_cache
+def radii_by_size(least: float, bits: int, tail: float, exact: int = 64) -> np.ndarray:
+    """Radius by the numbers of distinct shingles of two texts, those beyond ``exact`` as one; -1: never similar.
+
+    Of few shingles, one more can turn many bits; as they grow the share sinks to that of a normal pair, so the
+    largest radius of the sizes next to ``exact`` holds for all above.
+    """
+    out = np.full((exact + 1, exact + 1), -1, dtype=np.int64)
+    out[0, 0] = 0
+    for a in range(1, 2 * exact + 1):
+        for b in range(a, int(a / least + 1e-9) + 1):
+            share = bit_share(a, b, least)
+            if share is not None:
+                x, y = min(a, exact), min(b, exact)
+                out[x, y] = out[y, x] = max(out[x, y], least_radius(share, bits, tail))
+    out[-1] = out[:, -1] = out[-1, -1]
+    return out
+
+
 def tile_links(
-    one: np.ndarray, two: np.ndarray | None, radius: int, block: int = 256
+    one: np.ndarray,
+    two: np.ndarray | None,
+    radius: int | np.ndarray,
+    block: int = 256,
+    sizes: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (i, j, bits) of rows of two tiles within the radius; ``two`` None: pairs i < j of one tile."""
+    """Pairs (i, j, bits) of rows of two tiles within the radius; ``two`` None: pairs i < j of one tile.
+
+    ``radius`` may be a table by the ``sizes`` of both rows, as from ``radii_by_size``.
+    """
     other = one if two is None else two
+    widest = int(np.max(radius))
     found = []
     for at in range(0, len(one), block):
         rows = one[at : at + block]
@@ -117,9 +174,13 @@ def tile_links(
         bits = np.zeros((len(rows), len(other) - start), dtype=np.uint16)
         for w in range(one.shape[1]):
             bits += np.bitwise_count(rows[:, w, None] ^ other[None, start:, w])
-        i, j = np.nonzero(bits <= radius)
+        i, j = np.nonzero(bits <= widest)
         d = bits[i, j]
         i, j = i + at, j + start
+        if sizes is not None:
+            top = len(radius) - 1
+            near = d <= radius[np.minimum(sizes[0][i], top).astype(int), np.minimum(sizes[1][j], top).astype(int)]
+            i, j, d = i[near], j[near], d[near]
         if two is None:
             keep = i < j
             i, j, d = i[keep], j[keep], d[keep]
@@ -159,7 +220,7 @@ def nearest_of_each(i: np.ndarray, j: np.ndarray, d: np.ndarray, each: int) -> n
 
 def link_classes(
     classes: DataFrame,
-    radius: int,
+    radius: int | np.ndarray,
     words: int,
     parts: int = 4,
     width: int = 1,
@@ -168,7 +229,7 @@ def link_classes(
     each: int = 0,
     id_bytes: int = 16,
 ) -> DataFrame:
-    """Links (a, b, bits) between classes (id, fingerprint, n_shingles) within ``radius`` bits.
+    """Links (a, b, bits) between classes (id, fingerprint, n_shingles) within ``radius`` bits, or a table of them by size.
 
     ``id`` is a string of hex digits for ``id_bytes`` bytes. The links of each tile pair are thinned to a
     spanning forest, with the ``each`` nearest links of every class added. ``parts``: the fingerprint is cut
@@ -211,7 +272,8 @@ def link_classes(
         .mapInArrow(pack, "cell decimal(38,0), tile int, blob binary"),
         "simhash-tiles",
     )
-    steps = cell_steps(parts, radius, width, shrink is not None)
+    by_size = isinstance(radius, np.ndarray)
+    steps = cell_steps(parts, int(np.max(radius)), width, shrink is not None)
     own = F.col("step") == 0
     pairs = (
         tiles.select(
@@ -243,7 +305,10 @@ def link_classes(
                 two = np.frombuffer(blob2.as_py(), dtype=record) if blob2.is_valid else None
                 other = one if two is None else two
                 i, j, d = tile_links(
-                    one["print"].astype(np.uint64), None if two is None else two["print"].astype(np.uint64), radius
+                    one["print"].astype(np.uint64),
+                    None if two is None else two["print"].astype(np.uint64),
+                    radius,
+                    sizes=(one["size"], other["size"]) if by_size else None,
                 )
                 if least_similarity and len(i):
                     x, y = one["size"][i], other["size"][j]
@@ -308,7 +373,7 @@ def links_apart(
     texts: DataFrame,
     shingle: int,
     least: float,
-    radius: int,
+    radius: int | np.ndarray,
     words: int,
     tile_rows: int = 256,
     tile_bytes: int = 4 << 20,
@@ -365,6 +430,8 @@ def links_apart(
         sizes = np.array([len(x) for x in parts])
         return prints.reshape(-1, words).astype(np.uint64), np.array([r["root"] for r in rows]), parts, sizes
 
+    by_size = isinstance(radius, np.ndarray)
+
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = pa.schema([("a", pa.string()), ("b", pa.string())])
         for batch in batches:
@@ -372,7 +439,8 @@ def links_apart(
                 one = x.as_py()
                 two = y.as_py() if y.is_valid else one
                 (prints, root, parts, size), (prints2, root2, parts2, size2) = unpacked(one), unpacked(two)
-                i, j, d = tile_links(prints, prints2 if y.is_valid else None, radius)
+                sizes = (size, size2) if by_size else None
+                i, j, d = tile_links(prints, prints2 if y.is_valid else None, radius, sizes=sizes)
                 keep = root[i] != root2[j]
                 i, j, d = i[keep], j[keep], d[keep]
                 if not len(i):
@@ -416,13 +484,14 @@ def drop_near_duplicates(
     shingle: int = 5,
     least_similarity: float = 0.8,
     words: int = 4,
-    radius: int = 52,
+    tail: float = 1e-6,
 ) -> DataFrame:
     """One document of each group of near-duplicates, with the columns of ``docs``.
 
-    Links: fingerprints of ``words`` x 64 bits within ``radius``, confirmed on the shingle sets. At a
-    similarity of 0.8 the bits differ by 39 on average with a deviation of 5.7, so a radius of 52 of 256
-    finds 99 of 100 such pairs and nearly all above, while texts without common shingles differ by 128.
+    Links: fingerprints of ``words`` x 64 bits over the distinct shingles, confirmed on the shingle sets. The
+    radius follows from the two numbers of shingles: a pair of ``least_similarity`` itself lies beyond it with a
+    chance of at most ``tail``. Of 256 bits that is about 68, for few shingles up to 80, while texts without
+    common shingles differ by 128.
     The links nearest to each other are confirmed first (a spanning forest and three a text), then all links
     between texts that these have not joined (``links_apart``), so no link that would join groups is left out.
     Of a group the row with the least key stays, null keys last; of repeated rows one stays. Null and empty
@@ -437,12 +506,16 @@ def drop_near_duplicates(
         ).withColumn("id", F.md5(F.col("text").cast("binary"))),
         "simhash-rows",
     )
-    prints = staged(fingerprints(rows, ["row_id", "key", "id"], "text", shingle, words), "simhash-prints")
+    prints = staged(
+        fingerprints(rows, ["row_id", "key", "id"], "text", shingle, words, distinct=True), "simhash-prints"
+    )
     classes = prints.groupBy("id").agg(
         F.min("fingerprint").alias("fingerprint"), F.min("n_shingles").alias("n_shingles"), F.min("row_id").alias("row_id")
     )
+    radius = radii_by_size(least_similarity, 64 * words, tail)
+    width = int(radius.max()) + 1
     links = staged(
-        link_classes(classes, radius, words, 1, radius + 1, least_similarity, each=3).drop("bits"), "simhash-links"
+        link_classes(classes, radius, words, 1, width, least_similarity, each=3).drop("bits"), "simhash-links"
     )
     ends = staged(links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes, "id").select("row_id"), "simhash-ends")
     texts = staged(rows.join(if_small(ends), "row_id").select("id", "text"), "simhash-texts")

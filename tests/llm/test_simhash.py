@@ -203,3 +203,40 @@ def test_links_apart_join_what_all_pairs_join(spark, tile_rows):
     same = [(0, i) for i in range(30)]
     assert plain_components(60, got + same) == plain_components(60, links + same)
     assert links and len(set(plain_components(60, links + same))) < 31
+
+
+def few_and_repeated():
+    """Texts of 5 to 15 words with single edits, and texts of which a line is repeated: (doc_id, text)."""
+    rng = np.random.default_rng(13)
+    texts = []
+    for n in range(5, 16):
+        for _ in range(30):
+            words = [f"w{k}" for k in rng.integers(0, 10**9, n)]
+            texts += [words, [*words, f"x{rng.integers(0, 10**9)}"], [f"y{rng.integers(0, 10**9)}", *words]]
+    for _ in range(20):
+        words = [f"w{k}" for k in rng.integers(0, 10**9, 104)]
+        texts += [words, words + words[40:64] * 30]
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_few_shingles_and_repeated_lines_against_brute_force(spark):
+    rows = few_and_repeated()
+    sets = [set(S.shingles(t.encode().split(), 5)) for _, t in rows]
+    links = [
+        (i, j)
+        for i in range(len(rows))
+        for j in range(max(0, i - 2), i)  # other texts share no word
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in S.drop_near_duplicates(docs).collect())
+    assert len(links) > 200 and kept == sorted(set(plain_components(len(rows), links)))
+
+
+def test_radius_leaves_a_negligible_tail():
+    radius = S.radii_by_size(0.8, 256, 1e-6)
+    for a in range(1, 320):
+        for b in range(a, int(a / 0.8 + 1e-9) + 1):
+            share = S.bit_share(a, b, 0.8)
+            if share is not None:
+                assert S.least_radius(share, 256, 1e-6) <= radius[min(a, 64), min(b, 64)]
