@@ -3,7 +3,7 @@
 Each source has a target share of the mixed corpus. Its repetition rate is that share of the wanted
 total over what the source holds. Each document is repeated k times, where k is Poisson with the rate
 of its source as mean, found by inverting the distribution at a uniform number hashed from the seed
-and the document id. The same document gets the same count in every run, on any partitioning, and
+and the document id, or the whole row if it has none. The same document gets the same count in every run, on any partitioning, and
 after the loss of an executor. The copies are then dealt to partitions and sorted by a hash, which is
 the global shuffle.
 """
@@ -19,9 +19,16 @@ from tallyweave.session import staged
 LARGEST_MEAN = 400.0
 
 
-def uniform(seed: int, key: Column, draw: Column) -> Column:
-    """Number in [0, 1) from 52 bits of a digest of seed, draw and key; a null key counts as ``null``."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), draw.cast("string"), F.coalesce(key.cast("string"), F.lit("null"))))
+def drawn_name(row: str, key: str, text: str) -> Column:
+    """What a row draws by: its key, or without one a digest of all its columns (``null`` if it has no text either)."""
+    no_text = F.coalesce(F.octet_length(F.col(f"{row}.`{text}`")), F.lit(0)) == 0
+    whole = F.concat(F.lit("null:"), F.md5(F.to_json(row).cast("binary")))
+    return F.coalesce(F.col(f"{row}.`{key}`").cast("string"), F.when(no_text, "null").otherwise(whole))
+
+
+def uniform(seed: int, name: Column, draw: Column) -> Column:
+    """Number in [0, 1) from 52 bits of a digest of seed, draw and name."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), draw.cast("string"), name))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
@@ -83,14 +90,14 @@ def mix_sources(
     share of a source is its size to the power ``temperature``. Sizes are UTF-8 bytes plus one per
     document, so null and empty texts count too. ``epochs``: size of the mix against that of the input.
     A document whose count is 0 is absent: that is the method. Rows with the same key draw the same
-    count. Input columns named mix_rate or mix_copy are replaced. An empty table gives no rows.
+    count, and of rows without a key those that are equal in all columns or have no text. Input columns named mix_rate or mix_copy are replaced. An empty table gives no rows.
     """
     size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long") + 1
     rates = repetition_rates(docs, source, size, weights, temperature, epochs)
     kept = [c for c in docs.columns if c not in ("mix_rate", "mix_copy")]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("mix_row"))
     drawn = F.transform(
-        F.sequence(F.lit(1), F.col("draws")), lambda j: uniform(seed, F.col(f"mix_row.{key}"), j)
+        F.sequence(F.lit(1), F.col("draws")), lambda j: uniform(seed, drawn_name("mix_row", key, text), j)
     )
     counted = rows.join(rates, F.col(f"mix_row.{source}").eqNullSafe(F.col("mix_source"))).select(
         "mix_row",

@@ -74,3 +74,21 @@ def test_same_copies_on_any_partitioning(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     counts = lambda d: Counter((r["doc_id"], r["mix_copy"]) for r in mix_sources(d).select("doc_id", "mix_copy").collect())
     assert counts(docs) == counts(docs.repartition(13))
+
+
+def test_rows_without_a_key_draw_apart(spark):
+    """A third of the rows has no key: they are neither lost nor repeated together, and the source keeps its share."""
+    docs = spark.range(6000).selectExpr(
+        "IF(id % 3 = 0, NULL, id) AS doc_id", "concat('text ', lpad(id div 2, 6, '0')) AS text", "id AS url", "IF(id % 2 = 0, 'a', 'b') AS source"
+    )
+    out = mix_sources(docs, weights={"a": 1.0, "b": 1.0}).where("doc_id IS NULL").groupBy("url", "source").count().collect()
+    copies = Counter(r["count"] for r in out)
+    # 2000 rows at a rate of 1: Poisson counts, six standard deviations.
+    for n in range(4):
+        share = math.exp(-1) / math.factorial(n)
+        seen = copies[n] if n else 2000 - len(out)
+        assert abs(seen - 2000 * share) <= 6 * math.sqrt(2000 * share * (1 - share))
+    by_source = Counter()
+    for r in out:
+        by_source[r["source"]] += r["count"]
+    assert all(abs(by_source[s] - 1000) <= 6 * math.sqrt(1000) for s in "ab")
