@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.operators.columns import numeric_columns, q
+from tallyweave.operators.ordered import global_rank
 from tallyweave.operators.quantiles import exact_quantiles
 
 
@@ -92,19 +95,24 @@ def pivot_first(df: DataFrame, key, indicator: str, value: str, names) -> DataFr
 def string_concat(df: DataFrame, keys, item, order, separator: str = ",", part_items: int = 10_000) -> DataFrame:
     """All items of a group joined to one text in a given order: (keys, part, text).
 
-    A group of up to ``part_items`` items is one text, part 0. A larger group is
-    dealt over several parts by a hash of its order columns, each a bounded cell,
-    so no item is lost and no task holds a whole hot group.
+    Part p holds the items from place p * ``part_items`` of the order on, so the texts of a group, joined in the
+    order of their parts, are the whole list. Each is a bounded cell, and no task holds a whole hot group: places
+    come from a range-partitioned sort. Equal order columns are told apart by the item.
     """
-    g = [q(k) for k in keys]
-    base = df.select(*g, item.alias("item"), F.struct(*order).alias("ord")).filter(F.col("item").isNotNull())
-    sizes = base.groupBy(*g).agg(F.ceil(F.count(F.lit(1)) / part_items).alias("parts"))
-    large = sizes.filter(F.col("parts") > 1)
-    dealt = base.join(large, list(keys), "left").withColumn(
-        "part", F.coalesce(F.pmod(F.xxhash64("ord"), F.col("parts")), F.lit(0)).cast("int")
-    )
-    pieces = dealt.groupBy(*g, "part").agg(F.sort_array(F.collect_list(F.struct("ord", "item"))).alias("items"))
-    return pieces.select(*g, "part", F.array_join(F.col("items.item"), separator).alias("text"))
+    names = [f"_key{i}" for i in range(len(keys))]
+    base = df.select(
+        *[q(k).alias(n) for k, n in zip(keys, names, strict=True)], item.alias("_item"), F.struct(*order).alias("_ord")
+    ).filter(F.col("_item").isNotNull())
+    placed = global_rank(base, *names, "_ord", "_item", column="_place")
+    starts = placed.groupBy(*names).agg(F.min("_place").alias("_start"))
+    starts = starts.withColumnsRenamed({n: f"{n}_of" for n in names})
+    # Null keys are a group, too.
+    same = reduce(lambda x, y: x & y, [F.col(n).eqNullSafe(F.col(f"{n}_of")) for n in names])
+    part = F.floor((F.col("_place") - F.col("_start")) / part_items).cast("int").alias("part")
+    dealt = placed.join(starts, same).select(*names, part, "_place", "_item")
+    pieces = dealt.groupBy(*names, "part").agg(F.sort_array(F.collect_list(F.struct("_place", "_item"))).alias("_items"))
+    out = [F.col(n).alias(k) for n, k in zip(names, keys, strict=True)]
+    return pieces.select(*out, "part", F.array_join(F.col("_items._item"), separator).alias("text"))
 
 
 def duplicate_groups(df: DataFrame, keys) -> DataFrame:

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import duckdb
 from pyspark.sql import functions as F
 
 from tallyweave.functions import text as X
@@ -85,6 +86,25 @@ def test_long_concatenations_are_dealt_into_parts(spark):
     assert [r["text"] for r in out if r["k"] == "cold"] == [",".join(map(str, range(90, 100)))]
 
 
+def test_parts_of_a_long_concatenation_are_ranges_of_the_order(spark):
+    """Several parts, ties of the order, null keys and a group of exactly one part against SQL over all items."""
+    rows = [("hot", (i * 37) % 95 // 2, f"i{i}") for i in range(95)] + [(None, i, f"n{i}") for i in range(25)]
+    rows += [("even", -i, f"e{i}") for i in range(20)] + [("even", 3, None)]
+    df = spark.createDataFrame(rows, "k string, o int, id string")
+    out = A.string_concat(df.repartition(7), ["k"], F.col("id"), ["o"], part_items=20).collect()
+    want = duckdb.sql(
+        """WITH r AS (SELECT *, (row_number() OVER (PARTITION BY k ORDER BY o, id) - 1) // 20 AS part FROM df_rows WHERE id IS NOT NULL)
+           SELECT k, part, string_agg(id, ',' ORDER BY o, id) FROM r GROUP BY ALL""".replace(
+            "df_rows", "(VALUES " + ",".join("(%s, %d, %s)" % (_sql(k), at, _sql(i)) for k, at, i in rows) + ") AS v(k, o, id)"
+        )
+    ).fetchall()
+    assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
+
+
+def _sql(text):
+    return "NULL" if text is None else f"'{text}'"
+
+
 def test_longest_prefix(spark, rows):
     left = spark.createDataFrame([(1, "SP", "0123"), (2, "SP", "0199"), (3, "RJ", "0123"), (4, "SP", None)], "id int, st string, zip string")
     table = spark.createDataFrame([("SP", "01", 1.0), ("SP", "012", 2.0), ("SP", "0123", 3.0), ("SP", "0123", 2.5)], "st string, pre string, lat double")
