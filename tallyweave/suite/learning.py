@@ -317,7 +317,7 @@ def ml_cluster_stability(t):
         table = R.rfm_table(tables, to_date=str(date), excluded=EXCLUDED)
         return R.feature_table(table, prefixes=("all_cats_",), category_groups=GROUPS, payment_groups=PAYMENTS)
 
-    return ST.cluster_stability(until, "customer_unique_id", dt.datetime(1999, 12, 31, 23, 59, 59), (1, 10))
+    return ST.cluster_stability(until, "customer_unique_id", dt.datetime(1999, 12, 31, 23, 59, 59), range(1, 30))
 
 
 # --- text ------------------------------------------------------------------------------------------

@@ -156,3 +156,31 @@ def test_late_records_are_dropped_and_weeks_equal_the_batch(spark, tmp_path):
     got = {str(r["week"]): (r["n"], r["total"]) for r in out.collect()}
     assert got == {"2024-01-01": (1, 1.0), "2024-02-26": (3, 9.0)}
     assert S.run_to_table(S.customer_figures(stream.withColumn("u", F.lit(1)), "u", "ts", "v"), "f", ["u"]).first()["frequency"] == 5
+
+
+def test_cluster_stability_of_every_week(spark, monkeypatch):
+    """All 29 weeks come from the query, and one job gives the index that each week has by itself."""
+    from tallyweave.operators.evaluation import adjusted_rand_index, adjusted_rand_indices
+    from tallyweave.plans.stability import cluster_stability
+    from tallyweave.suite import learning
+
+    asked = []
+    monkeypatch.setattr(learning, "shop", lambda t: t)
+    monkeypatch.setattr(learning.ST, "cluster_stability", lambda until, key, start, weeks: asked.extend(weeks))
+    learning.ml_cluster_stability(None)
+    assert asked == list(range(1, 30))
+
+    start = dt.datetime(2020, 1, 1)
+
+    def until(date):
+        week = (date - start).days // 7
+        moved = F.when(F.col("id") < 4 * week, 9.0).otherwise(0.0)
+        return spark.range(40 + week).select("id", ((F.col("id") % 2) * 5.0 + moved).alias("x"), (F.col("id") % 2).cast("double").alias("y"))
+
+    got = {r["week"]: (r["ari"], r["n"]) for r in cluster_stability(until, "id", start, range(0, 4), components=2, clusters=2).collect()}
+    assert sorted(got) == [0, 1, 2, 3] and got[0] == (1.0, 40) and all(n == 40 for _, n in got.values())
+
+    pairs = spark.range(60).select((F.col("id") % 3).alias("w"), (F.col("id") % 4).alias("p"), (F.col("id") % 7 % 3).alias("r"))
+    for row in adjusted_rand_indices(pairs, "w", "p", "r").collect():
+        alone = adjusted_rand_index(pairs.where(F.col("w") == row["w"]), "p", "r").first()
+        assert (round(row["ari"], 12), row["n"]) == (round(alone["ari"], 12), alone["n"])
