@@ -73,9 +73,64 @@ SELECT page_id, host, path, rule,
 FROM d
 """.format(lower=LOWER.format("regexp_extract(rest, '(?s)^[^/?#]*', 0)"))
 
+# crc32 by its table of 256 entries, over the UTF-8 bytes of an id and a run. Near words share a text with one
+# code point less (insertions, deletions) or with one code point left open (replacements).
+VARIANTS = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+),
+runs AS (
+  SELECT id, run, count(*) AS n FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           unnest(regexp_extract_all({lower}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents) GROUP BY ALL
+),
+bytes AS (
+  SELECT *, flatten(list_transform(string_split(id || ':' || run, ''), lambda ch:
+    CASE WHEN unicode(ch) < 128 THEN [CAST(unicode(ch) AS BIGINT)]
+         ELSE [192 + unicode(ch) // 64, 128 + unicode(ch) % 64] END)) AS b FROM runs
+),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, b),
+    lambda c, x: xor(c // 256, t[CAST(xor(c % 256, x) AS INT) + 1])), 4294967295) AS h FROM bytes, crc
+),
+kept AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+              ELSE run END AS word, n FROM hashed
+),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM kept WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3
+),
+open AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (
+    SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+),
+less AS (SELECT DISTINCT o.word AS long, w.word AS short FROM open o JOIN words w ON w.word = o.a || o.b),
+near AS (
+  SELECT long AS word, short AS other FROM less UNION ALL SELECT short, long FROM less
+  UNION ALL SELECT DISTINCT x.word, y.word FROM open x JOIN open y USING (i, a, b) WHERE x.word <> y.word
+),
+best AS (
+  SELECT near.word, count(*) AS n_near, max(o.n) AS form_n,
+         first(other ORDER BY o.n DESC, other) AS form
+  FROM near JOIN words o ON o.word = other GROUP BY 1
+),
+formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * w.n THEN form END AS form,
+         CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n FROM words w LEFT JOIN best USING (word)
+),
+walk AS (
+  SELECT word, word AS at, form AS onward FROM formed
+  UNION ALL SELECT walk.word, f.word, f.form FROM walk JOIN formed f ON f.word = walk.onward
+)
+SELECT f.word, f.form, walk.at AS root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM formed f JOIN walk ON walk.word = f.word AND walk.onward IS NULL
+""".format(lower=LOWER.format("text"))
+
 ORACLES = {
     "op3_decontamination": DECONTAMINATION,
     "op4_warc": WARC,
     "op7_mixing": MIXING,
     "op10_urls": URLS,
+    "op11_variants": VARIANTS,
 }

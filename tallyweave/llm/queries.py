@@ -12,12 +12,15 @@ from tallyweave.llm.decontaminate import is_contaminated, n_hit, scan_texts
 from tallyweave.llm.forest import link_vectors
 from tallyweave.llm.frames import fold, table
 from tallyweave.llm.mixing import mix_sources
+from tallyweave.llm.pieces import decode_ids, encode_texts
 from tallyweave.llm.secrets import find_secrets
 from tallyweave.llm.sharding import shard_documents
 from tallyweave.llm.simhash import near_duplicates
 from tallyweave.llm.toxicity import score_texts, train
 from tallyweave.llm.urls import Rule, judge_urls
+from tallyweave.llm.variants import spelling_variants
 from tallyweave.llm.warc import archive_pages
+from tallyweave.llm.whitening import whiten_vectors
 
 URL_RULES = (
     Rule("allow", "org", "/"),
@@ -99,6 +102,27 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # noqa: PLC0415
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_texts(table(spark, sf_dir, "documents"), model, ["doc_id"])
+    return decode_ids(encoded, model, ["doc_id", "ids"]).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": simhash,
     "op2_toxicity": toxicity,
@@ -110,4 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": secret_scan,
     "op9_brown": language_model,
     "op10_urls": url_filter,
+    "op11_variants": spelling,
+    "op12_whitening": whitening,
+    "op13_pieces": tokens,
 }
