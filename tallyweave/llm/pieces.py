@@ -2,14 +2,16 @@
 
 The library marks each blank (U+0020 as U+2581) and puts a mark before the text. A model whose pieces hold marks only
 at their start cannot join letters across a mark, so a text is the concatenation of its marked words (marks and what
-follows up to the next mark), and each of them is segmented alike wherever it stands. :func:`chunk_table` therefore
-counts the distinct marked words of all texts and segments each once. Encoding looks them up by position:
+follows up to the next mark), and each of them is segmented alike wherever it stands.
 
-* The commonest chunks, as many as ``head_bytes`` of keys and ids hold (found by a histogram of counts), are broadcast.
-  They cover most places, and all hot keys.
-* The others are joined: each distinct text asks for the chunks it needs, the answers are grouped by text (never more
-  than one text holds), and come to the documents by the digest of the text. Copies of a text that makes up a third of
-  all rows are split by adaptive execution.
+1. Tasks number the distinct chunks of a part, which is a run of documents with a bounded number of chunks, and write
+   each document as the numbers of its chunks by position. Each part asks for its chunks once, packed by buckets of a
+   hash of the chunk, so a chunk that makes up a third of all positions is one entry of each part.
+2. A bucket holds all requests for its chunks: it keeps the table of these, segments each distinct chunk once, and
+   answers every part with the ids. The number of buckets grows with the text, so a bucket stays bounded.
+3. Documents and answers meet by part, and the ids are joined by position.
+
+Texts are not shuffled: what moves are packed numbers, requests and answers.
 
 Handling: a null text is encoded as the empty one (no ids, decoded to the empty text); texts and chunks of any length
 are taken whole; an empty table gives no rows; repeated rows give equal rows; columns to keep go through unchanged,
@@ -21,11 +23,13 @@ from __future__ import annotations
 import functools
 import os
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +37,9 @@ from tallyweave.session import staged
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
-FLUSH = 200_000  # chunks a task counts before it hands them on
-HEAD_BYTES = 8 << 20  # keys and ids of the broadcast part of the table
+PART_CHUNKS = 400_000  # distinct chunks at which a part is closed
+PART_BYTES = 64 << 20  # bytes of text at which a part is closed
+BUCKET_BYTES = 16 << 20  # bytes of text for each bucket of chunks
 IDS = np.dtype("<i4")
 
 
@@ -78,116 +83,148 @@ def segment(model: sentencepiece.SentencePieceProcessor, chunk: str) -> list[int
     return model.encode(chunk[1:])
 
 
-def chunk_table(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
-    """(chunk, n, ids): each distinct marked word of all texts once, with its count and its ids as little-endian int32."""
-    load_model(model_path)
-    counted = pa.schema([("chunk", pa.string()), ("n", pa.int64())])
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers, byte plane by byte plane, compressed: the upper planes are nearly empty."""
+    planes = np.ascontiguousarray(values, IDS).view("u1").reshape(-1, IDS.itemsize).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
-    def rows(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], schema=counted)
 
-    def count(batches):
-        counts: Counter = Counter()
-        for batch in batches:
-            for body in batch.column(0).to_pylist():
-                counts.update(marked_words(body or ""))
-                if len(counts) >= FLUSH:
-                    yield rows(counts)
-                    counts = Counter()
-        if counts:
-            yield rows(counts)
-
-    def segment_all(batches):
-        model = _loaded(os.fspath(model_path))
-        for batch in batches:
-            ids = [np.array(segment(model, c), IDS).tobytes() for c in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["chunk", "n", "ids"])
+def unpack(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "u1").reshape(IDS.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(IDS).ravel()
 
-    chunks = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(count, "chunk string, n long")
-    chunks = chunks.groupBy("chunk").agg(F.sum("n").alias("n"))
-    return staged(chunks.mapInArrow(segment_all, "chunk string, n long, ids binary"), "chunks")
 
+def _pack_texts(texts: list[bytes]) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
 
-def _head(table: DataFrame, head_bytes: int) -> tuple[dict[str, bytes], int]:
-    """The commonest chunks within ``head_bytes``, and the least count that is among them.
 
-    Counts are binned by eighths of a power of two, so the driver sees at most some hundred sums; a bin enters whole.
-    """
-    bin_of = F.floor(F.log2("n") * 8)
-    sizes = table.groupBy(bin_of.alias("bin")).agg(
-        F.sum(F.octet_length("chunk") + F.octet_length("ids")).alias("held"), F.min("n").alias("least")
-    )
-    held, least = 0, None
-    for row in sorted(sizes.collect(), key=lambda r: -r["bin"]):
-        held += row["held"]
-        if held > head_bytes:
-            break
-        least = row["least"]
-    if least is None:
-        return {}, 1 << 62
-    common = table.where(F.col("n") >= least).select("chunk", "ids").toArrow()
-    return dict(zip(common["chunk"].to_pylist(), common["ids"].to_pylist(), strict=True)), least
+def _unpack_texts(blob: bytes, lengths: np.ndarray) -> list[bytes]:
+    whole, ends = zstandard.ZstdDecompressor().decompress(blob), np.cumsum(lengths)
+    return [whole[e - n : e] for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
 
 
-def _digest(text: str):
-    return F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary"))
+_REQUEST = [("part", pa.string()), ("bucket", pa.int32()), ("numbers", pa.binary()), ("lengths", pa.binary()), ("body", pa.binary())]
 
 
-def encode_texts(
-    docs: DataFrame, model_path: str, keep: list[str], text: str = "text", head_bytes: int = HEAD_BYTES
-) -> DataFrame:
-    """``keep`` columns and ``ids`` (array of int), as the library encodes the whole text, without begin or end ids."""
-    table = chunk_table(docs, model_path, text)
-    head, least = _head(table, head_bytes)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(head)
-    asked = pa.schema([("key", pa.string()), ("chunk", pa.string())])
-
-    def ask(batches):
-        common = shared.value
+def _requests(part: str, numbers: dict[str, int], buckets: int) -> list[tuple]:
+    """One row for each bucket that a part's chunks fall into."""
+    texts = [c.encode() for c in numbers]
+    bucket = np.array([xxhash.xxh64_intdigest(t) % buckets for t in texts], "int64")
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    rows = []
+    for at in np.split(order, cuts):
+        held = [texts[i] for i in at.tolist()]
+        rows.append((part, int(bucket[at[0]]), pack(at), pack(np.array([len(t) for t in held])), _pack_texts(held)))
+    return rows
+
+
+def _number_chunks(docs: DataFrame, keep: list[str], text: str, buckets: int) -> DataFrame:
+    """Staged rows of two kinds: documents (``kept``, ``body`` of numbers) and requests (``bucket`` is not null)."""
+    kept = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(None).cast("int")
+    rows = docs.select(kept.alias("kept"), F.col(f"`{text}`").cast("string").alias("text"))
+
+    def number(batches):
+        kind = None
+        numbers: dict[str, int] = {}
+        size = nth = 0
+        part = f"{TaskContext.get().partitionId()}-{nth}"
+
+        def asked() -> pa.RecordBatch:
+            columns = list(zip(*_requests(part, numbers, buckets), strict=True))
+            arrays = [pa.array(c, t) for c, (_, t) in zip(columns, _REQUEST, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.nulls(len(arrays[0]), kind), *arrays], names=["kept", *[n for n, _ in _REQUEST]])
+
         for batch in batches:
-            keys, chunks = [], []
-            for key, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                need = [c for c in set(marked_words(body or "")) if c not in common]
-                keys += [key] * len(need)
-                chunks += need
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(chunks, pa.string())], schema=asked)
-
-    body = docs.select(_digest(text).alias("key"), F.col(f"`{text}`").cast("string").alias("body"))
-    tail = table.where(F.col("n") < least).select("chunk", "ids")
-    answers = (
-        body.mapInArrow(ask, "key string, chunk string")
-        .join(tail, "chunk")
-        .groupBy("key")
-        .agg(F.collect_set(F.struct("chunk", "ids")).alias("rest"))
+            kind, texts = batch.column(0).type, batch.column(1).to_pylist()
+            at = 0
+            while at < len(texts):
+                start, codes = at, []
+                while at < len(texts) and len(numbers) < PART_CHUNKS and size < PART_BYTES:
+                    chunks = marked_words(texts[at] or "")
+                    codes.append(pack(np.array([numbers.setdefault(c, len(numbers)) for c in chunks], IDS)))
+                    size += sum(map(len, chunks))
+                    at += 1
+                n = at - start
+                blank = pa.nulls(n, pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, n), pa.array([part] * n, pa.string()), pa.nulls(n, pa.int32()), blank, blank, pa.array(codes, pa.binary())],
+                    names=["kept", *[n for n, _ in _REQUEST]],
+                )
+                if at < len(texts) and numbers:
+                    yield asked()
+                    numbers, size, nth = {}, 0, nth + 1
+                    part = f"{TaskContext.get().partitionId()}-{nth}"
+        if numbers:
+            yield asked()
+
+    kind = rows.schema["kept"].dataType.simpleString()
+    return staged(
+        rows.mapInArrow(number, f"kept {kind}, part string, bucket int, numbers binary, lengths binary, body binary"), "parts"
     )
-    kept = [F.col(f"`{c}`") for c in keep]
-    whole = docs.select(
-        F.struct(*kept).alias("kept") if kept else F.lit(None).cast("int").alias("kept"),
-        _digest(text).alias("key"),
-        F.col(f"`{text}`").cast("string").alias("body"),
-    ).join(answers, "key", "left").select("kept", "body", "rest")
-
-    def look_up(batches):
-        common = shared.value
-        for batch in batches:
-            found = []
-            for body, rest in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                chunks = marked_words(body or "")
-                if rest:
-                    own = {r["chunk"]: r["ids"] for r in rest}
-                    found.append(b"".join([common.get(c) or own[c] for c in chunks]))
-                else:
-                    found.append(b"".join([common[c] for c in chunks]))
-            ends = np.cumsum([0] + [len(f) // IDS.itemsize for f in found]).astype("int32")
-            values = pa.array(np.frombuffer(b"".join(found), IDS))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], names=["kept", "ids"]
-            )
-
-    kind = whole.schema["kept"].dataType.simpleString()
-    out = whole.mapInArrow(look_up, f"kept {kind}, ids array<int>")
+
+
+def answer_requests(requests: pa.Table, segment_one) -> pa.Table:
+    """Answers to all requests of one bucket: (part, numbers, lengths, body) with the ids of each chunk.
+
+    The table of distinct chunks lives here; ``segment_one`` sees each of them once.
+    """
+    table: dict[bytes, bytes] = {}
+    out = []
+    for row in requests.select(["part", "numbers", "lengths", "body"]).to_batches(max_chunksize=64):
+        for part, numbers, lengths, body in zip(*(c.to_pylist() for c in row.columns), strict=True):
+            ids = []
+            for chunk in _unpack_texts(body, unpack(lengths)):
+                found = table.get(chunk)
+                if found is None:
+                    found = table[chunk] = np.array(segment_one(chunk.decode()), IDS).tobytes()
+                ids.append(found)
+            counts = np.array([len(f) for f in ids]) // IDS.itemsize
+            out.append((part, numbers, pack(counts), pack(np.frombuffer(b"".join(ids), IDS))))
+    columns = list(zip(*out, strict=True)) if out else [[]] * 4
+    types = [pa.string(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["part", "numbers", "lengths", "body"])
+
+
+def _join_by_position(documents: pa.Table, answers: pa.Table) -> pa.Table:
+    """Documents of one part with the ids of their chunks in order."""
+    numbers, counts, ids = [np.empty(0, IDS)], [np.empty(0, IDS)], [np.empty(0, IDS)]
+    for a, b, c in zip(*(answers[n].to_pylist() for n in ("numbers", "lengths", "body")), strict=True):
+        numbers.append(unpack(a))
+        counts.append(unpack(b))
+        ids.append(unpack(c))
+    order, held, flat = np.concatenate(numbers), np.concatenate(counts).astype("int64"), np.concatenate(ids)
+    begin, size = np.zeros(len(order), "int64"), np.zeros(len(order), "int64")
+    begin[order], size[order] = np.cumsum(held) - held, held
+    out, ends = [np.empty(0, IDS)], [0]
+    for body in documents["body"].to_pylist():
+        codes = unpack(body)
+        lengths = size[codes]
+        total = int(lengths.sum())
+        # Place of each id: the start of its chunk plus its rank inside.
+        places = np.repeat(begin[codes] - (np.cumsum(lengths) - lengths), lengths) + np.arange(total)
+        out.append(flat[places])
+        ends.append(ends[-1] + total)
+    lists = pa.ListArray.from_arrays(pa.array(np.array(ends), pa.int32()), pa.array(np.concatenate(out)))
+    return pa.table([documents["kept"].combine_chunks(), lists], names=["kept", "ids"])
+
+
+def encode_texts(docs: DataFrame, model_path: str, keep: list[str], text: str = "text") -> DataFrame:
+    """``keep`` columns and ``ids`` (array of int), as the library encodes the whole text, without begin or end ids."""
+    load_model(model_path)
+    size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
+    rows = _number_chunks(docs, keep, text, buckets=int(size // BUCKET_BYTES) + 1)
+    kind = rows.schema["kept"].dataType.simpleString()
+
+    def answer(requests: pa.Table) -> pa.Table:
+        model = _loaded(os.fspath(model_path))
+        return answer_requests(requests, lambda chunk: segment(model, chunk))
+
+    answers = rows.where("bucket IS NOT NULL").drop("kept").groupBy("bucket").applyInArrow(
+        answer, "part string, numbers binary, lengths binary, body binary"
+    )
+    documents = rows.where("bucket IS NULL").select("kept", "part", "body")
+    out = documents.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_join_by_position, f"kept {kind}, ids array<int>")
     return out.select(*[F.col(f"kept.`{c}`").alias(c) for c in keep], "ids")
 
 

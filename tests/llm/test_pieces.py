@@ -1,6 +1,8 @@
 """Encoding and decoding against the library itself."""
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -22,15 +24,17 @@ AWKWARD = [
 
 
 def results(df, keep):
-    encoded = P.encode_texts(df, MODEL, keep, head_bytes=P.HEAD_BYTES)
+    encoded = P.encode_texts(df, MODEL, keep)
     return P.decode_ids(encoded, MODEL, [*keep, "ids"]).collect()
 
 
-@pytest.mark.parametrize("head_bytes", [0, 2_000, P.HEAD_BYTES])
-def test_awkward_texts_equal_the_library(spark, library, head_bytes):
+@pytest.mark.parametrize("part_chunks,bucket_bytes", [(400_000, 16 << 20), (20, 300), (1, 1)])
+def test_awkward_texts_equal_the_library(spark, library, monkeypatch, part_chunks, bucket_bytes):
+    monkeypatch.setattr(P, "PART_CHUNKS", part_chunks)
+    monkeypatch.setattr(P, "BUCKET_BYTES", bucket_bytes)
     rows = [(i, t) for i, t in enumerate(AWKWARD)] + [(100, None), (None, "no key"), (101, "same text"), (101, "same text")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    encoded = P.encode_texts(df, MODEL, ["doc_id", "text"], head_bytes=head_bytes)
+    encoded = P.encode_texts(df, MODEL, ["doc_id", "text"])
     got = P.decode_ids(encoded, MODEL, ["doc_id", "text", "ids"]).collect()
     assert len(got) == len(rows)
     for r in got:
@@ -46,20 +50,35 @@ def test_whole_table_equals_the_library(spark, sf, texts, library):
         assert got[key] == (ids, library.decode(ids) if ids else "")
 
 
-def test_each_distinct_chunk_is_segmented_once(spark):
-    df = spark.createDataFrame([("to be or not to be",)] * 50, "text string")
-    table = P.chunk_table(df, MODEL).collect()
-    assert sorted((r["chunk"], r["n"]) for r in table) == [("▁be", 100), ("▁not", 50), ("▁or", 50), ("▁to", 100)]
+def test_each_distinct_chunk_is_segmented_once():
+    """Whatever the number of parts that ask for it."""
+    seen = []
 
+    def spell(chunk):
+        seen.append(chunk)
+        return [ord(c) for c in chunk]
 
-def test_head_is_bounded(spark):
-    df = spark.createDataFrame([(" ".join(f"w{i}" for i in range(j)),) for j in range(200)], "text string")
-    table = P.chunk_table(df, MODEL)
-    for bound in (0, 100, 500, 10**6):
-        head, least = P._head(table, bound)
-        assert sum(len(c.encode()) + len(ids) for c, ids in head.items()) <= bound
-        assert {r["chunk"] for r in table.where(f"n < {least}").collect()}.isdisjoint(head)
-        assert len(head) + table.where(f"n < {least}").count() == table.count()
+    asked = [("a", ["x", "yy", ""]), ("b", ["yy", "zzz"]), ("c", ["x"])]
+    rows = [r for part, chunks in asked for r in P._requests(part, {c: i for i, c in enumerate(chunks)}, 1)]
+    table = pa.table([pa.array(c) for c in zip(*rows)], names=["part", "bucket", "numbers", "lengths", "body"])
+    answers = P.answer_requests(table, spell)
+    assert sorted(seen) == ["", "x", "yy", "zzz"]
+    assert answers["part"].to_pylist() == ["a", "b", "c"]
+    assert P.unpack(answers["lengths"][0].as_py()).tolist() == [1, 2, 0]
+    assert P.unpack(answers["body"][1].as_py()).tolist() == [ord(c) for c in "yyzzz"]
+
+
+def test_packing_is_exact():
+    for values in ([], [0], [5, 70_000, 2**31 - 1, 3]):
+        assert P.unpack(P.pack(np.array(values, P.IDS))).tolist() == values
+
+
+def test_parts_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(P, "PART_CHUNKS", 50)
+    df = spark.createDataFrame([(" ".join(f"w{i}-{j}" for i in range(20)),) for j in range(40)], "text string")
+    rows = P._number_chunks(df.coalesce(1), [], "text", 1).where("bucket IS NOT NULL").collect()
+    held = [len(P.unpack(r["numbers"])) for r in rows]
+    assert sum(held) == 800 and max(held) < 50 + 20
 
 
 def test_empty_table_and_clashing_columns(spark):
