@@ -1,4 +1,4 @@
-"""Density clustering of low-dimensional points.
+"""Density clustering of points.
 
 Points are binned into cells of side eps / sqrt(d), so all points of one cell lie within
 eps of each other. A cell with ``min_points`` rows is dense as a whole: its points
@@ -6,6 +6,11 @@ are core points and one cluster, whatever its size, and no pair inside it is eve
 Identical points are one row with a count. Cells are cut into sub-cells with bounding boxes; most
 questions (enough neighbours? cells connected?) are settled by boxes, and points
 are measured only where a pair of boxes straddles eps.
+
+Neighbouring cells are met through a coarse grid over a few coordinates alone, those of the widest spread: leaving
+coordinates out shortens distances, so cells within reach of each other differ by at most one coarse step in each of
+these. The number of steps asked for is 3 to the power of ``COARSE``, whatever the number of dimensions; all other
+coordinates are settled by boxes. Busy coarse cells are cut on both sides.
 """
 
 from __future__ import annotations
@@ -17,10 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.operators.columns import q
-from tallyweave.operators.neighbours import nearest
+from tallyweave.operators.neighbours import TILE_ROWS, blocked_join, nearest
 from tallyweave.session import staged
 
 SUB_CELLS = 4  # sub-cells per cell side
+COARSE = 3  # coordinates of the coarse grid
 
 
 def k_distance(df: DataFrame, row_id: str, features: str, k: int) -> DataFrame:
@@ -51,31 +57,50 @@ def _boxes(points: DataFrame, keys, dims: int) -> DataFrame:
     return points.groupBy(*keys).agg(corner(F.min).alias("lo"), corner(F.max).alias("hi"), F.sum("w").alias("w"))
 
 
+def _coarse(cell: str, axes: list[int], step: int) -> Column:
+    return F.array(*[F.floor(q(cell)[i] / step) for i in axes])
+
+
+def _around(coarse: Column, axes: list[int]) -> Column:
+    """The coarse cell itself and those one step away."""
+    return F.array(*[F.array(*[coarse[i] + d for i, d in enumerate(o)]) for o in product((-1, 0, 1), repeat=len(axes))])
+
+
+def _spread_axes(points: DataFrame, dims: int) -> list[int]:
+    """The coordinates of the widest variance, at most ``COARSE``."""
+    wide = points.agg(*[F.var_pop(F.col("v")[i]).alias(str(i)) for i in range(dims)]).first()
+    return sorted(range(dims), key=lambda i: (-(wide[i] or 0.0), i))[:COARSE]
+
+
 def density_clusters(df: DataFrame, row_id: str, features: str, dims: int, eps: float, min_points: int) -> DataFrame:
     """(row_id, cluster) for every row; cluster is NULL for noise, else the smallest point number of the cluster.
 
-    Border points join the cluster of their nearest core point. ``min_points`` counts the point itself.
+    Border points join the cluster of their nearest core point. ``min_points`` counts the point itself. Rows without
+    features, or with a missing coordinate, are noise.
     """
     side, limit = eps / dims**0.5, eps * eps
-    reach = int(dims**0.5) + 1
+    step = int(dims**0.5) + 2  # cells within eps of each other differ by fewer cells than this in each coordinate
     rows = df.select(q(row_id), q(features).cast("array<double>").alias("v"))
-    points = rows.groupBy("v").agg(F.count(F.lit(1)).alias("w"), F.min(row_id).alias("p"))
+    points = rows.filter(F.forall("v", lambda x: x.isNotNull())).groupBy("v").agg(F.count(F.lit(1)).alias("w"), F.min(row_id).alias("p"))
     grid = lambda width: F.transform("v", lambda x: F.floor(x / width).cast("long"))
     points = staged(points.withColumns({"cell": grid(side), "sub": grid(side / SUB_CELLS)}), "points")
+    axes = _spread_axes(points, dims)
     sizes = points.groupBy("cell").agg(F.sum("w").alias("size"))
     points = staged(points.join(sizes, "cell"), "points")
-    offsets = [
-        o for o in product(range(-reach, reach + 1), repeat=dims) if sum(max(0, abs(x) - 1) ** 2 for x in o) <= dims
-    ]
-    near_cells = F.array(*[F.array(*[F.col("cell")[i] + o[i] for i in range(dims)]) for o in offsets])
+    # Cells whose nearest corners lie within eps; the sum is over what is left of each gap.
+    apart = lambda a, b: _sum([F.greatest(F.abs(q(a)[i] - q(b)[i]) - 1, F.lit(0)) * F.greatest(F.abs(q(a)[i] - q(b)[i]) - 1, F.lit(0)) for i in range(dims)])
 
     # Core points: all of a dense cell; of a sparse cell those with enough rows within eps.
     dense, thin = points.filter(F.col("size") >= min_points), points.filter(F.col("size") < min_points)
-    asking = thin.select(F.col("p").alias("sp"), F.col("v").alias("sv"), F.explode(near_cells).alias("cell"))
+    asking = thin.select(F.col("p").alias("sp"), F.col("v").alias("sv"), F.col("cell").alias("scell"))
+    asking = asking.withColumn("coarse", F.explode(_around(_coarse("scell", axes, step), axes)))
+    boxes = _boxes(points, ["cell", "sub"], dims).withColumn("coarse", _coarse("cell", axes, step))
     least, most = _box_range("sv", "sv", "lo", "hi", dims)
-    met = asking.join(_boxes(points, ["cell", "sub"], dims), "cell").withColumns({"least": least, "most": most})
+    met = blocked_join(asking, boxes, "coarse", "sp", "sub", TILE_ROWS).filter(apart("scell", "cell") <= dims)
+    met = met.withColumns({"least": least, "most": most})
+    met = staged(met.filter(F.col("least") <= limit).select("sp", "sv", "cell", "sub", "w", "most"), "met")
     inside = met.filter(F.col("most") <= limit).select("sp", "w")
-    partly = met.filter((F.col("least") <= limit) & (F.col("most") > limit)).select("sp", "sv", "cell", "sub")
+    partly = met.filter(F.col("most") > limit).select("sp", "sv", "cell", "sub")
     partly = partly.join(points.select("cell", "sub", "v", "w"), ["cell", "sub"])
     partly = partly.filter(_squared("sv", "v", dims) <= limit).select("sp", "w")
     counted = inside.unionByName(partly).groupBy("sp").agg(F.sum("w").alias("within"))
@@ -86,16 +111,20 @@ def density_clusters(df: DataFrame, row_id: str, features: str, dims: int, eps:
     nodes = core.groupBy("cell").agg(F.min("p").alias("node"))
     core = staged(core.join(nodes, "cell"), "core")
     boxes = _boxes(core, ["cell", "node", "sub"], dims)
+    boxes = boxes.withColumn("coarse", _coarse("cell", axes, step))
     ours = boxes.select(
         F.col("node").alias("a"),
         F.col("cell").alias("cell_a"),
         F.col("sub").alias("sub_a"),
         F.col("lo").alias("lo_a"),
         F.col("hi").alias("hi_a"),
-        F.explode(near_cells).alias("cell"),
+        F.explode(_around(F.col("coarse"), axes)).alias("coarse"),
     )
     least, most = _box_range("lo_a", "hi_a", "lo", "hi", dims)
-    pairs = ours.join(boxes, "cell").filter(F.col("a") < F.col("node")).withColumns({"least": least, "most": most})
+    pairs = blocked_join(ours, boxes, "coarse", "sub_a", "sub", TILE_ROWS).filter(
+        (F.col("a") < F.col("node")) & (apart("cell_a", "cell") <= dims)
+    )
+    pairs = pairs.withColumns({"least": least, "most": most})
     pairs = staged(
         pairs.filter(F.col("least") <= limit).select("a", F.col("node").alias("b"), "cell_a", "sub_a", "cell", "sub", "most"),
         "box-pairs",
@@ -120,18 +149,18 @@ def density_clusters(df: DataFrame, row_id: str, features: str, dims: int, eps:
     border = border.join(clusters.select(F.col("p").alias("ref"), "cluster"), "ref").select("p", "cluster")
     by_point = clusters.select("p", "cluster").unionByName(border)
     labelled = points.join(by_point, "p", "left").select("v", "cluster")
-    return rows.join(labelled, "v").select(row_id, "cluster")
+    return rows.join(labelled, "v", "left").select(row_id, "cluster")
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, cluster = smallest node of its component) by alternating large-star and small-star steps.
 
     Each step rewires edges towards smaller nodes; the number of steps grows with the logarithm of the
-    longest path. State is written to the shared folder after every round.
+    longest path, and they end at the fixed point. State is written to the shared folder after every round.
     """
     state = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     before = None
-    for _ in range(max_rounds):
+    while True:
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -145,8 +174,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
         if before == (now["n"], now["h"]):
             break
         before = (now["n"], now["h"])
-    else:
-        raise RuntimeError("components did not settle; raise max_rounds")
     roots = state.groupBy("u").agg(F.min("v").alias("cluster"))
     return nodes.join(roots, nodes["node"] == roots["u"], "left").select(
         "node", F.coalesce("cluster", "node").alias("cluster")

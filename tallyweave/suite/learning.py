@@ -239,6 +239,37 @@ def ml_density(t):
     return D.density_clusters(_points(t), "c_custkey", "v", 2, 0.15, 5)
 
 
+MEASURES = """
+    m AS (SELECT c_custkey AS id, ARRAY[c_acctbal / 2000, COUNT(*) / 4.0, AVG(o_totalprice) / 40000, MIN(o_totalprice) / 40000,
+                 MAX(o_totalprice) / 80000, c_nationkey / 5.0]::DOUBLE[] AS v
+          FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_acctbal, c_nationkey)"""
+APART = "list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+
+
+@query(
+    "ml_density_measures",
+    f"""WITH RECURSIVE {MEASURES},
+        e AS MATERIALIZED (SELECT a.id AS a, b.id AS b, {APART} AS d FROM m a JOIN m b
+              ON ABS(a.v[1] - b.v[1]) <= 0.9 AND ABS(a.v[6] - b.v[6]) <= 0.9 AND {APART} <= 0.81),
+        core AS MATERIALIZED (SELECT a AS id FROM e GROUP BY a HAVING COUNT(*) >= 6),
+        ce AS MATERIALIZED (SELECT a, b FROM e WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+        r(id, root) AS (SELECT id, id FROM core UNION SELECT ce.b, r.root FROM r JOIN ce ON ce.a = r.id AND r.root < ce.b),
+        cl AS (SELECT id, MIN(root) AS cluster FROM r GROUP BY id),
+        bo AS (SELECT e.a AS id, cl.cluster FROM e JOIN cl ON cl.id = e.b WHERE e.a NOT IN (SELECT id FROM core)
+               QUALIFY ROW_NUMBER() OVER (PARTITION BY e.a ORDER BY d, e.b) = 1)
+        SELECT m.id AS c_custkey, COALESCE(cl.cluster, bo.cluster) AS cluster FROM m LEFT JOIN cl USING (id) LEFT JOIN bo USING (id)""",
+)
+def ml_density_measures(t):
+    """Density clusters of customers in six dimensions."""
+    price = F.col("o_totalprice")
+    m = t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_custkey", "c_acctbal", "c_nationkey").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(price).alias("mean"), F.min(price).alias("low"), F.max(price).alias("high")
+    )
+    scaled = [("c_acctbal", 2000), ("n", 4), ("mean", 40000), ("low", 40000), ("high", 80000), ("c_nationkey", 5)]
+    rows = m.select("c_custkey", F.array(*[(F.col(c) / d).cast("double") for c, d in scaled]).alias("v"))
+    return D.density_clusters(rows, "c_custkey", "v", 6, 0.9, 6)
+
+
 @query(
     "ml_k_distance",
     f"""WITH {POINTS} SELECT id AS c_custkey, ROUND(SQRT(d), 6) AS k_distance FROM (SELECT a.id, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d,

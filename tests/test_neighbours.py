@@ -18,18 +18,15 @@ def brute(qs, rs, k, skip):
     return out
 
 
-@pytest.mark.parametrize("limit", [10_000_000, 10])
+@pytest.mark.parametrize("tile", [2048, 16])
 @pytest.mark.parametrize("dims,k,skip", [(2, 1, False), (2, 4, True), (8, 3, False)])
-def test_nearest_is_exact(spark, monkeypatch, limit, dims, k, skip):
-    monkeypatch.setattr(NB, "CHUNK_ROWS", 16)
-    monkeypatch.setattr(NB, "BLOCK_ROWS", 32)
+def test_nearest_is_exact(spark, monkeypatch, tile, dims, k, skip):
+    monkeypatch.setattr(NB, "TILE_ROWS", tile)
     rng = np.random.default_rng(dims)
     refs = np.round(np.concatenate([rng.normal(size=(120, dims)), rng.normal(size=(60, dims)) * 0.01 + 5]), 3)
     refs = np.concatenate([refs, np.repeat(refs[:1], 40, axis=0)])  # a hot group of copies
     qs = refs if skip else np.round(rng.normal(size=(70, dims)) * 3, 3)
-    found = NB.nearest(
-        frame(spark, qs), frame(spark, refs, "ref"), k, "id", "ref", "v", skip_same_id=skip, broadcast_values=limit
-    ).collect()
+    found = NB.nearest(frame(spark, qs), frame(spark, refs, "ref"), k, "id", "ref", "v", skip_same_id=skip).collect()
     got = {}
     for r in sorted(found, key=lambda r: (r["id"], r["rank"])):
         got.setdefault(r["id"], []).append(r["ref"])
@@ -61,7 +58,7 @@ def levenshtein(a, b):
 
 
 def test_nearest_text_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(NB, "CHUNK_ROWS", 4)
+    monkeypatch.setattr(NB, "TILE_ROWS", 4)
     rng = np.random.default_rng(3)
     word = lambda: "".join(rng.choice(list("abc"), size=rng.integers(1, 9)))
     known, asked = sorted({word() for _ in range(60)}), sorted({word() + "d" for _ in range(25)} | {"zzzz"})
@@ -72,6 +69,38 @@ def test_nearest_text_is_exact(spark, monkeypatch):
         assert got[a] == (best[1], round(-best[0], 9))
 
 
+def test_nearest_text_by_gram_index_and_beyond(spark, monkeypatch):
+    """Long texts a few edits away, some far from all, an empty one, and grams that all texts share."""
+    monkeypatch.setattr(NB, "TILE_ROWS", 8)
+    rng = np.random.default_rng(4)
+    word = lambda n: "".join(rng.choice(list("abcdefghij"), size=n))
+    known = sorted({word(rng.integers(20, 45)) for _ in range(40)} | {"shared " + word(12) for _ in range(30)} | {"a"})
+
+    def damaged(t, edits):
+        for _ in range(edits):
+            i = rng.integers(0, len(t) + 1)
+            t = [t[:i] + "z" + t[i:], t[:i] + t[i + 1 :], t[:i] + "y" + t[i + 1 :]][rng.integers(0, 3)]
+        return t
+
+    asked = sorted({damaged(known[i], int(rng.integers(0, 14))) for i in range(0, len(known), 2)} | {"", "q" * 30, "shared "})
+    make = lambda texts: spark.createDataFrame([(t,) for t in texts] * 2 + [(None,)], "text string")
+    got = {r["text"]: (r["nearest"], round(r["similarity"], 9)) for r in NB.nearest_text(make(asked), make(known)).collect()}
+    assert set(got) == set(asked)
+    for a in asked:
+        best = min((-(1 - levenshtein(a, b) / max(len(a), len(b))), b) for b in known)
+        assert got[a] == (best[1], round(-best[0], 9))
+    assert NB.nearest_text(make(["x"]), make([]).filter("false")).collect()[0]["nearest"] is None
+
+
+def test_blocked_join_bounds_both_sides(spark):
+    left = spark.range(1000).selectExpr("id AS a", "CASE WHEN id < 700 THEN 0 ELSE id END AS k")
+    right = spark.range(900).selectExpr("id AS b", "CASE WHEN id < 500 THEN 0 ELSE id END AS k")
+    joined = NB.blocked_join(left, right, "k", "a", "b", 50)
+    assert joined.count() == joined.select("a", "b").distinct().count() == 700 * 500 + 200
+    cells = joined.groupBy("k", "_l", "_r").agg(F.count_distinct("a").alias("a"), F.count_distinct("b").alias("b"))
+    assert cells.agg(F.max("a")).first()[0] <= 100 and cells.agg(F.max("b")).first()[0] <= 100
+
+
 def dbscan(points, eps, least):
     n = len(points)
     near = [[j for j in range(n) if ((points[i] - points[j]) ** 2).sum() <= eps * eps] for i in range(n)]
@@ -103,8 +132,51 @@ def test_density_clusters(spark):
     assert len({(got[i], want[i]) for i in got}) == len(set(got.values())) == len(set(want.values()))
 
 
+def test_density_in_six_dimensions(spark, monkeypatch):
+    monkeypatch.setattr(D, "TILE_ROWS", 16)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(4, 6)) * 2
+    pts = np.concatenate([c + rng.normal(size=(60, 6)) * s for c, s in zip(centres, (0.1, 0.2, 0.3, 0.5))])
+    pts = np.round(np.concatenate([pts, rng.uniform(-4, 4, size=(30, 6)), np.repeat(pts[:1], 20, axis=0)]), 3)
+    df = frame(spark, pts).unionByName(spark.createDataFrame([(900, None), (901, [0.0, None, 0.0, 0.0, 0.0, 0.0])], "id long, v array<double>"))
+    got = {r["id"]: r["cluster"] for r in D.density_clusters(df, "id", "v", 6, 0.6, 6).collect()}
+    assert got.pop(900) is None and got.pop(901) is None
+    want = dbscan(pts, 0.6, 6)
+    assert {i: c is None for i, c in got.items()} == {i: c is None for i, c in want.items()}
+    assert len({(got[i], want[i]) for i in got}) == len(set(got.values())) == len(set(want.values())) >= 4
+
+
 def test_components_of_a_long_path(spark):
     nodes = spark.range(70).withColumnRenamed("id", "node")
     edges = spark.createDataFrame([(i, i + 1) for i in range(49)] + [(60, 69)], "a long, b long")
     got = {r["node"]: r["cluster"] for r in D.connected_components(nodes, edges).collect()}
     assert all(got[i] == 0 for i in range(50)) and got[69] == got[60] == 60 and got[55] == 55
+
+
+@pytest.mark.parametrize("shape", ["clustered", "one ring", "copies", "uniform"])
+def test_blocked_search_in_many_dimensions(spark, monkeypatch, shape):
+    """64 dimensions: equal to brute force, and on clustered data bounds settle most of the pairs."""
+    monkeypatch.setattr(NB, "TILE_ROWS", 64)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(24, 64)) * 3
+    refs = {
+        "clustered": centres[rng.integers(0, 24, 2_000)] + rng.normal(size=(2_000, 64)) * 0.3,
+        "one ring": np.eye(64)[rng.integers(0, 64, 700)] * rng.choice([1.0, -1.0], 700)[:, None],
+        "copies": np.concatenate([np.ones((600, 64)), rng.normal(size=(200, 64))]),
+        "uniform": rng.uniform(size=(500, 64)),
+    }[shape]
+    near = (refs[rng.integers(0, len(refs), 300)] + rng.normal(size=(300, 64)) * 0.1).round(6)
+    found = NB.nearest(frame(spark, near), frame(spark, refs, "ref"), 5, "id", "ref", "v").collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r["id"], r["rank"])):
+        got.setdefault(r["id"], []).append(r["ref"])
+    assert got == brute(near, refs, 5, False)
+    if shape == "clustered":
+        measured = NB.measured_pairs(frame(spark, near), frame(spark, refs, "ref"), 5, "id", "ref", "v")
+        assert measured < 0.3 * len(near) * len(refs)
+
+
+def test_top_k_leaves_out_own_ids_and_breaks_ties():
+    refs = np.array([[0.0], [1.0], [1.0], [-1.0]])
+    row, rid, dist = NB.top_k(np.array([[0.0], [1.0]]), refs, np.array([7, 9, 8, 6]), 2, np.array([7, 9]))
+    assert list(zip(row, rid, dist)) == [(0, 6, 1.0), (0, 8, 1.0), (1, 8, 0.0), (1, 7, 1.0)]
