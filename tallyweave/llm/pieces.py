@@ -4,12 +4,14 @@ The library marks each blank (U+0020 as U+2581) and puts a mark before the text.
 at their start cannot join letters across a mark, so a text is the concatenation of its marked words (marks and what
 follows up to the next mark), and each of them is segmented alike wherever it stands.
 
-1. Tasks number the distinct chunks of a part, which is a run of documents with a bounded number of chunks, and write
-   each document as the numbers of its chunks by position. Each part asks for its chunks once, packed by buckets of a
-   hash of the chunk, so a chunk that makes up a third of all positions is one entry of each part.
-2. A bucket holds all requests for its chunks: it keeps the table of these, segments each distinct chunk once, and
+1. The commonest chunks of a bounded sample of texts are segmented and broadcast; which chunks these are changes the
+   amount of work, never a result.
+2. Tasks number the chunks of a part, which is a run of documents with a bounded number of other chunks, and write the
+   documents as the numbers of their chunks by position. Each part asks for its other chunks once, packed by buckets of
+   a hash of the chunk, so a busy chunk is one entry of each part.
+3. A bucket holds all requests for its chunks: it keeps the table of these, segments each distinct chunk once, and
    answers every part with the ids. The number of buckets grows with the text, so a bucket stays bounded.
-3. Documents and answers meet by part, and the ids are joined by position.
+4. Documents and answers meet by part, and the ids are joined by position.
 
 Texts are not shuffled: what moves are packed numbers, requests and answers.
 
@@ -23,6 +25,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +40,11 @@ from tallyweave.session import staged
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
-PART_CHUNKS = 400_000  # distinct chunks at which a part is closed
-PART_BYTES = 64 << 20  # bytes of text at which a part is closed
+SAMPLE_BYTES = 32 << 20  # bytes of text that the broadcast chunks are counted in, about
+HEAD_CHUNKS = 200_000  # chunks that are broadcast, at most
+PART_CHUNKS = 100_000  # other distinct chunks at which a part is closed
+PART_BYTES = 16 << 20  # characters of text at which a part is closed
+GROUP_CHUNKS = 200_000  # positions at which a packed group of documents is closed
 BUCKET_BYTES = 16 << 20  # bytes of text for each bucket of chunks
 IDS = np.dtype("<i4")
 
@@ -119,40 +125,81 @@ def _requests(part: str, numbers: dict[str, int], buckets: int) -> list[tuple]:
     return rows
 
 
-def _number_chunks(docs: DataFrame, keep: list[str], text: str, buckets: int) -> DataFrame:
-    """Staged rows of two kinds: documents (``kept``, ``body`` of numbers) and requests (``bucket`` is not null)."""
+def frequent_chunks(docs: DataFrame, model_path: str, text: str, size: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(chunks, ids of all, number of ids of each): chunks that occur thrice or more in the sample, commonest first.
+
+    The sample has about ``SAMPLE_BYTES`` of the table's ``size`` bytes, chosen by a hash of the text, so what comes to
+    the driver is bounded.
+    """
+    share = min(1.0, SAMPLE_BYTES / max(1, size))
+    body = F.col(f"`{text}`").cast("string")
+    sample = docs.select(body.alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    schema = pa.schema([("chunk", pa.string()), ("n", pa.int64())])
+
+    def count(batches):
+        counts: Counter = Counter()
+        for batch in batches:
+            for one in batch.column(0).to_pylist():
+                counts.update(marked_words(one or ""))
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], schema=schema)
+
+    def segment_all(batches):
+        model = _loaded(os.fspath(model_path))
+        for batch in batches:
+            ids = [np.array(segment(model, c), IDS).tobytes() for c in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=["chunk", "n", "ids"])
+
+    counted = sample.mapInArrow(count, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n")).where("n >= 3")
+    found = counted.mapInArrow(segment_all, "chunk string, n long, ids binary").toArrow().to_pydict()
+    order = sorted(range(len(found["n"])), key=lambda i: (-found["n"][i], found["chunk"][i]))[:HEAD_CHUNKS]
+    ids = [found["ids"][i] for i in order]
+    lengths = np.array([len(x) // IDS.itemsize for x in ids], "int64")
+    return [found["chunk"][i] for i in order], np.frombuffer(b"".join(ids), IDS), lengths
+
+
+def _number_chunks(docs: DataFrame, keep: list[str], text: str, buckets: int, head) -> DataFrame:
+    """Staged rows of two kinds: groups of documents (``kept``, ``lengths``, ``body`` of numbers), and requests, which
+    have a ``bucket``."""
     kept = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(None).cast("int")
     rows = docs.select(kept.alias("kept"), F.col(f"`{text}`").cast("string").alias("text"))
+    names = ["kept", *[n for n, _ in _REQUEST]]
 
     def number(batches):
         kind = None
+        common = {c: i for i, c in enumerate(head.value[0])}
+        known = common.get
         numbers: dict[str, int] = {}
         size = nth = 0
         part = f"{TaskContext.get().partitionId()}-{nth}"
 
+        def grouped(held: pa.Array, lengths: list[int], codes: list[int]) -> pa.RecordBatch:
+            lists = pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held)
+            values = [[part], [None], [None], [pack(np.array(lengths))], [pack(np.array(codes))]]
+            return pa.RecordBatch.from_arrays([lists, *[pa.array(v, t) for v, (_, t) in zip(values, _REQUEST, strict=True)]], names=names)
+
         def asked() -> pa.RecordBatch:
             columns = list(zip(*_requests(part, numbers, buckets), strict=True))
             arrays = [pa.array(c, t) for c, (_, t) in zip(columns, _REQUEST, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.nulls(len(arrays[0]), kind), *arrays], names=["kept", *[n for n, _ in _REQUEST]])
+            return pa.RecordBatch.from_arrays([pa.nulls(len(arrays[0]), pa.list_(kind)), *arrays], names=names)
 
         for batch in batches:
-            kind, texts = batch.column(0).type, batch.column(1).to_pylist()
+            kind, texts = batch.column(0).type, batch.column(1)
             at = 0
             while at < len(texts):
-                start, codes = at, []
-                while at < len(texts) and len(numbers) < PART_CHUNKS and size < PART_BYTES:
-                    chunks = marked_words(texts[at] or "")
-                    codes.append(pack(np.array([numbers.setdefault(c, len(numbers)) for c in chunks], IDS)))
-                    size += sum(map(len, chunks))
+                start, lengths, codes = at, [], []
+                while at < len(texts) and len(codes) < GROUP_CHUNKS and len(numbers) < PART_CHUNKS and size < PART_BYTES:
+                    before = len(codes)
+                    for chunk in marked_words(texts[at].as_py() or ""):
+                        i = known(chunk)
+                        codes.append(len(common) + numbers.setdefault(chunk, len(numbers)) if i is None else i)
+                        size += len(chunk)
+                    lengths.append(len(codes) - before)
                     at += 1
-                n = at - start
-                blank = pa.nulls(n, pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, n), pa.array([part] * n, pa.string()), pa.nulls(n, pa.int32()), blank, blank, pa.array(codes, pa.binary())],
-                    names=["kept", *[n for n, _ in _REQUEST]],
-                )
-                if at < len(texts) and numbers:
-                    yield asked()
+                if lengths:
+                    yield grouped(batch.column(0).slice(start, at - start), lengths, codes)
+                if len(numbers) >= PART_CHUNKS or size >= PART_BYTES:
+                    if numbers:
+                        yield asked()
                     numbers, size, nth = {}, 0, nth + 1
                     part = f"{TaskContext.get().partitionId()}-{nth}"
         if numbers:
@@ -160,7 +207,7 @@ def _number_chunks(docs: DataFrame, keep: list[str], text: str, buckets: int) ->
 
     kind = rows.schema["kept"].dataType.simpleString()
     return staged(
-        rows.mapInArrow(number, f"kept {kind}, part string, bucket int, numbers binary, lengths binary, body binary"), "parts"
+        rows.mapInArrow(number, f"kept array<{kind}>, part string, bucket int, numbers binary, lengths binary, body binary"), "parts"
     )
 
 
@@ -186,35 +233,42 @@ def answer_requests(requests: pa.Table, segment_one) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["part", "numbers", "lengths", "body"])
 
 
-def _join_by_position(documents: pa.Table, answers: pa.Table) -> pa.Table:
+def _join_by_position(documents: pa.Table, answers: pa.Table, head) -> pa.Table:
     """Documents of one part with the ids of their chunks in order."""
-    numbers, counts, ids = [np.empty(0, IDS)], [np.empty(0, IDS)], [np.empty(0, IDS)]
+    chunks, head_ids, head_sizes = head
+    counts, ids = [head_sizes], [head_ids]
+    numbers = [np.arange(len(chunks))]
     for a, b, c in zip(*(answers[n].to_pylist() for n in ("numbers", "lengths", "body")), strict=True):
-        numbers.append(unpack(a))
-        counts.append(unpack(b))
+        numbers.append(unpack(a).astype("int64") + len(chunks))
+        counts.append(unpack(b).astype("int64"))
         ids.append(unpack(c))
-    order, held, flat = np.concatenate(numbers), np.concatenate(counts).astype("int64"), np.concatenate(ids)
+    order, held, flat = np.concatenate(numbers), np.concatenate(counts), np.concatenate(ids)
     begin, size = np.zeros(len(order), "int64"), np.zeros(len(order), "int64")
     begin[order], size[order] = np.cumsum(held) - held, held
-    out, ends = [np.empty(0, IDS)], [0]
-    for body in documents["body"].to_pylist():
+    kept, found, ends = [], [], [np.zeros(1, "int64")]
+    for held_by, lengths, body in zip(documents["kept"].combine_chunks(), documents["lengths"].to_pylist(), documents["body"].to_pylist(), strict=True):
         codes = unpack(body)
-        lengths = size[codes]
-        total = int(lengths.sum())
+        each = size[codes]
+        after = np.cumsum(each)
         # Place of each id: the start of its chunk plus its rank inside.
-        places = np.repeat(begin[codes] - (np.cumsum(lengths) - lengths), lengths) + np.arange(total)
-        out.append(flat[places])
-        ends.append(ends[-1] + total)
-    lists = pa.ListArray.from_arrays(pa.array(np.array(ends), pa.int32()), pa.array(np.concatenate(out)))
-    return pa.table([documents["kept"].combine_chunks(), lists], names=["kept", "ids"])
+        places = np.repeat(begin[codes] - (after - each), each) + np.arange(int(each.sum()))
+        kept.append(held_by.values)
+        found.append(flat[places])
+        last = np.cumsum(unpack(lengths).astype("int64"))
+        ends.append(np.concatenate([[0], after])[last] + ends[-1][-1])
+    if not kept:
+        return pa.table([documents["kept"].combine_chunks().flatten(), pa.array([], pa.list_(pa.int32()))], names=["kept", "ids"])
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(ends), pa.int32()), pa.array(np.concatenate(found)))
+    return pa.table([pa.concat_arrays(kept), lists], names=["kept", "ids"])
 
 
 def encode_texts(docs: DataFrame, model_path: str, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns and ``ids`` (array of int), as the library encodes the whole text, without begin or end ids."""
     load_model(model_path)
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
-    rows = _number_chunks(docs, keep, text, buckets=int(size // BUCKET_BYTES) + 1)
-    kind = rows.schema["kept"].dataType.simpleString()
+    head = docs.sparkSession.sparkContext.broadcast(frequent_chunks(docs, model_path, text, size))
+    rows = _number_chunks(docs, keep, text, int(size // BUCKET_BYTES) + 1, head)
+    kind = rows.schema["kept"].dataType.elementType.simpleString()
 
     def answer(requests: pa.Table) -> pa.Table:
         model = _loaded(os.fspath(model_path))
@@ -223,8 +277,10 @@ def encode_texts(docs: DataFrame, model_path: str, keep: list[str], text: str =
     answers = rows.where("bucket IS NOT NULL").drop("kept").groupBy("bucket").applyInArrow(
         answer, "part string, numbers binary, lengths binary, body binary"
     )
-    documents = rows.where("bucket IS NULL").select("kept", "part", "body")
-    out = documents.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_join_by_position, f"kept {kind}, ids array<int>")
+    documents = rows.where("bucket IS NULL").select("kept", "part", "lengths", "body")
+    out = documents.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
+        lambda ours, theirs: _join_by_position(ours, theirs, head.value), f"kept {kind}, ids array<int>"
+    )
     return out.select(*[F.col(f"kept.`{c}`").alias(c) for c in keep], "ids")
 
 
@@ -237,8 +293,8 @@ def decode_ids(encoded: DataFrame, model_path: str, keep: list[str]) -> DataFram
     def decode(batches):
         model = _loaded(os.fspath(model_path))
         for batch in batches:
-            ids = [x.values.to_numpy().tolist() if x.is_valid else [] for x in batch.column(1)]
-            texts = [model.decode(x) if x else "" for x in ids]
+            # One list of Python numbers at a time.
+            texts = [model.decode(x.values.to_numpy().tolist()) if x.is_valid and len(x) else "" for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["kept", "decoded"])
 
     out = rows.mapInArrow(decode, f"kept {rows.schema['kept'].dataType.simpleString()}, decoded string")

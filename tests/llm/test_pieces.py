@@ -28,9 +28,11 @@ def results(df, keep):
     return P.decode_ids(encoded, MODEL, [*keep, "ids"]).collect()
 
 
-@pytest.mark.parametrize("part_chunks,bucket_bytes", [(400_000, 16 << 20), (20, 300), (1, 1)])
-def test_awkward_texts_equal_the_library(spark, library, monkeypatch, part_chunks, bucket_bytes):
+@pytest.mark.parametrize("part_chunks,bucket_bytes,head_chunks", [(400_000, 16 << 20, 200_000), (20, 300, 0), (1, 1, 5)])
+def test_awkward_texts_equal_the_library(spark, library, monkeypatch, part_chunks, bucket_bytes, head_chunks):
     monkeypatch.setattr(P, "PART_CHUNKS", part_chunks)
+    monkeypatch.setattr(P, "HEAD_CHUNKS", head_chunks)
+    monkeypatch.setattr(P, "GROUP_CHUNKS", part_chunks)
     monkeypatch.setattr(P, "BUCKET_BYTES", bucket_bytes)
     rows = [(i, t) for i, t in enumerate(AWKWARD)] + [(100, None), (None, "no key"), (101, "same text"), (101, "same text")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -76,9 +78,17 @@ def test_packing_is_exact():
 def test_parts_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(P, "PART_CHUNKS", 50)
     df = spark.createDataFrame([(" ".join(f"w{i}-{j}" for i in range(20)),) for j in range(40)], "text string")
-    rows = P._number_chunks(df.coalesce(1), [], "text", 1).where("bucket IS NOT NULL").collect()
+    head = spark.sparkContext.broadcast((["▁w0-0"], np.array([1], P.IDS), np.array([1])))
+    rows = P._number_chunks(df.coalesce(1), [], "text", 1, head).where("bucket IS NOT NULL").collect()
     held = [len(P.unpack(r["numbers"])) for r in rows]
-    assert sum(held) == 800 and max(held) < 50 + 20
+    assert sum(held) == 799 and max(held) < 50 + 20
+
+
+def test_frequent_chunks_come_commonest_first(spark, library):
+    df = spark.createDataFrame([("to be or not to be",)] * 3 + [("to once",), (None,)], "text string")
+    chunks, ids, lengths = P.frequent_chunks(df, MODEL, "text", 0)
+    assert chunks == ["▁to", "▁be", "▁not", "▁or"]
+    assert ids.tolist() == library.encode("to be not or") and lengths.sum() == len(ids)
 
 
 def test_empty_table_and_clashing_columns(spark):
