@@ -11,7 +11,16 @@ import json
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -225,12 +234,59 @@ class OneHot(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
         return OneHotModel(learned)
 
 
-class GroupImputeModel(Model):
-    """Holds the per-level reference tables as DataFrames; they can outgrow a driver."""
+class _GroupImputeWriter(MLWriter):
+    """Settings as metadata, each fill table as Parquet beside it; tables never pass the driver."""
+
+    def __init__(self, instance):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path):
+        one = self.instance
+        told = {"levels": one.levels, "last_wins": one.last_wins, "targets": one.targets}
+        if isinstance(one, GroupImputeModel):
+            told["tables"] = [targets for targets, _ in one.tables]
+            for i, (_, fills) in enumerate(one.tables):
+                fills.write.parquet(f"{path}/fills-{i}")
+        DefaultParamsWriter.saveMetadata(one, path, self.sparkSession, extraMetadata={"settings": told})
+
+
+class _GroupImputeReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path):
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        told = metadata["settings"]
+        if self.cls is GroupImputeModel:
+            tables = [(targets, self.sparkSession.read.parquet(f"{path}/fills-{i}")) for i, targets in enumerate(told["tables"])]
+            one = GroupImputeModel(told["levels"], tables, told["last_wins"])
+        else:
+            one = self.cls(told["targets"], told["levels"], told["last_wins"])
+        one._resetUid(metadata["uid"])
+        return one
+
+
+class _GroupImputeStored(MLReadable, MLWritable):
+    def write(self):
+        return _GroupImputeWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _GroupImputeReader(cls)
+
+
+class GroupImputeModel(Model, _GroupImputeStored):
+    """Holds the per-level reference tables as DataFrames; they can outgrow a driver.
+
+    Saves and loads alone or as a stage of a pipeline model.
+    """
 
     def __init__(self, levels, tables, last_wins):
         super().__init__()
         self.levels, self.tables, self.last_wins = levels, tables, last_wins
+        self.targets = [c for targets, _ in tables for c in targets]
 
     def _transform(self, df):
         for targets, fills in self.tables:
@@ -238,7 +294,7 @@ class GroupImputeModel(Model):
         return df
 
 
-class GroupImpute(Estimator):
+class GroupImpute(Estimator, _GroupImputeStored):
     """Missing targets from the median (text: mode) of the fitted rows that agree on a list of keys.
 
     ``levels`` lists key sets, finest first. The first level with a value wins;

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyweave.functions.dates import week_ending_monday
 from tallyweave.operators.columns import q
 from tallyweave.operators.joins import complete_calendar
+from tallyweave.operators.neighbours import TILE_ROWS, blocked_join
 from tallyweave.operators.quantiles import group_medians, quantiles_of_counts, value_counts
 from tallyweave.session import cut_lineage, staged
 
@@ -107,7 +108,8 @@ def repair_by_word_median(df: DataFrame, bad: dict[str, Column], words: Column,
 
     Rows are reduced to their set of frequent words first, and good cells further to
     (set, column, value, count). A bad set meets only the good sets that hold its rarest
-    word, then must be contained in them.
+    word, then must be contained in them. Sets that share a busy word are met in cells of bounded size, and what a cell
+    finds is summed before it is shuffled, so a word in a third of the rows is many small tasks.
     """
     flags = {f"_bad_{c}": F.coalesce(cond, F.lit(False)) for c, cond in bad.items()}
     tagged = df.withColumns({"_words": words, **flags})
@@ -138,9 +140,9 @@ def repair_by_word_median(df: DataFrame, bad: dict[str, Column], words: Column,
     by_word = good.select("_have").distinct().select("_have", F.explode("_have").alias("_rarest"))
     any_bad = reduce(lambda a, b: a | b, [q(f"_bad_{c}") for c in bad])
     needed = known.filter(any_bad).select("_set", "_rarest").distinct()
-    contains = (
-        needed.join(by_word, "_rarest").filter(F.size(F.array_except("_set", "_have")) == 0).select("_set", "_have")
-    )
+    # A set has one rarest word, so each pair of sets is met once.
+    met = blocked_join(needed, by_word, "_rarest", "_set", "_have", TILE_ROWS)
+    contains = met.filter(F.size(F.array_except("_set", "_have")) == 0).select("_set", "_have")
     counts = contains.join(good, "_have").groupBy("_set", "column", "value").agg(F.sum("n").alias("n"))
     long = quantiles_of_counts(counts, ["_set", "column"], [0.5])
     medians = long.groupBy("_set").agg(

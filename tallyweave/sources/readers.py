@@ -34,10 +34,26 @@ def table_name(file_name: str, prefix: str = "", suffix: str = "_dataset") -> st
     return name.removesuffix(suffix)
 
 
-def register_csv_catalog(spark: SparkSession, files: dict[str, T.StructType], prefix: str = "") -> dict[str, DataFrame]:
-    """One de-duplicated temp view per CSV file, named after the file."""
+def list_files(spark: SparkSession, folder: str, glob: str = "*") -> list[str]:
+    """Paths below ``folder`` whose name matches, in order, through the file system that the path names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, glob))
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def register_csv_catalog(spark: SparkSession, files: str | dict[str, T.StructType], prefix: str = "", glob: str = "*.csv", schemas=None) -> dict[str, DataFrame]:
+    """One de-duplicated temp view per CSV file, named after the file.
+
+    ``files`` is a folder, which is listed, or a schema for each path. A listed file takes the schema that ``schemas`` has
+    for its table name; without one its columns are those of its header, as text.
+    """
+    if isinstance(files, str):
+        known = schemas or {}
+        files = {f: known.get(table_name(f, prefix)) for f in list_files(spark, files, glob)}
     views = {}
     for path, schema in files.items():
+        if schema is None:
+            schema = spark.read.option("header", True).option("escape", '"').csv(path).schema
         df = read_csv(spark, path, schema).dropDuplicates()
         name = table_name(path, prefix)
         df.createOrReplaceTempView(name)

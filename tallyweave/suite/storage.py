@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
+from tallyweave.operators.features import GroupImpute
 from tallyweave.session import scratch_path
 from tallyweave.sources import readers as R
 from tallyweave.sources import writers as W
@@ -61,14 +62,13 @@ def src_parquet_parts(t):
     "JOIN supplier ON s_nationkey = n_nationkey GROUP BY ALL",
 )
 def src_csv_catalog(t):
-    """Files written twice over; the catalog views are de-duplicated."""
-    root, files = scratch_path(t.spark, "catalog"), {}
+    """A folder of files with repeated rows; the catalog lists it and its views are de-duplicated."""
+    root, schemas = scratch_path(t.spark, "catalog"), {}
     for name in ("nation", "region", "supplier"):
         df = getattr(t, name)
-        path = f"{root}/shop_{name}_dataset.csv"
-        W.write_csv(df.unionByName(df), path)
-        files[path] = df.schema
-    R.register_csv_catalog(t.spark, files, prefix="shop_")
+        W.write_csv(df.unionByName(df), f"{root}/shop_{name}_dataset.csv")
+        schemas[name] = df.schema
+    R.register_csv_catalog(t.spark, root, prefix="shop_", schemas=schemas)
     return R.read_sql(
         t.spark,
         """SELECT n_name, r_name, COUNT(*) AS suppliers FROM nation JOIN region ON n_regionkey = r_regionkey
@@ -194,6 +194,37 @@ def mdl_persist(t):
     return W.load_pipeline(path).transform(t.customer).select("c_custkey", "idx")
 
 
+@query(
+    "mdl_persist_imputer",
+    """WITH h AS (SELECT c_custkey, c_nationkey, c_mktsegment, CASE WHEN c_acctbal >= 5000 THEN c_acctbal END AS bal,
+                     CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS seg FROM customer),
+       b0 AS (SELECT c_nationkey, c_mktsegment, quantile_cont(bal, 0.5) AS v0 FROM h WHERE bal IS NOT NULL GROUP BY 1, 2),
+       b1 AS (SELECT c_nationkey, quantile_cont(bal, 0.5) AS v1 FROM h WHERE bal IS NOT NULL GROUP BY 1),
+       n0 AS (SELECT c_nationkey, c_mktsegment, seg, COUNT(*) AS n FROM h WHERE seg IS NOT NULL GROUP BY 1, 2, 3),
+       s0 AS (SELECT c_nationkey, c_mktsegment, seg AS f0 FROM n0
+              QUALIFY ROW_NUMBER() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY n DESC, seg) = 1),
+       n1 AS (SELECT c_nationkey, seg, SUM(n) AS n FROM n0 GROUP BY 1, 2),
+       s1 AS (SELECT c_nationkey, seg AS f1 FROM n1 QUALIFY ROW_NUMBER() OVER (PARTITION BY c_nationkey ORDER BY n DESC, seg) = 1)
+       SELECT c_custkey, ROUND(COALESCE(bal, v0, v1), 6) AS bal, COALESCE(seg, f0, f1) AS seg FROM h
+       LEFT JOIN b0 USING (c_nationkey, c_mktsegment) LEFT JOIN b1 USING (c_nationkey)
+       LEFT JOIN s0 USING (c_nationkey, c_mktsegment) LEFT JOIN s1 USING (c_nationkey)""",
+)
+def mdl_persist_imputer(t):
+    """A fitted group imputer, saved and loaded as a stage of a pipeline model with its fill tables."""
+    holed = t.customer.select(
+        "c_custkey",
+        "c_nationkey",
+        "c_mktsegment",
+        F.when(F.col("c_acctbal") >= 5000, F.col("c_acctbal")).alias("bal"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("seg"),
+    )
+    path = scratch_path(t.spark, "imputer")
+    levels = [["c_nationkey", "c_mktsegment"], ["c_nationkey"]]
+    W.save_model(Pipeline(stages=[GroupImpute(["bal", "seg"], levels)]).fit(holed), path)
+    out = W.load_pipeline(path).transform(holed)
+    return out.select("c_custkey", F.round("bal", 6).alias("bal"), "seg")
+
+
 @query(
     "snk_split_files",
     f"""WITH s AS (SELECT doc_id, quality, {_hash('doc_id', 'strat')} AS a, {_hash('doc_id', 'split')} AS b FROM labels),

@@ -138,3 +138,82 @@ def test_regression_scores_and_clipping(spark):
     }
     assert got["baseline"]["r2"] <= 0 and got["knn"]["r2"] > 0.9 and got["linear"]["r2"] > 0.95
     assert got["linear"]["n"] == 100
+
+
+def chained_plain(rows, rounds):
+    """The same rounds over whole rows."""
+    import numpy as np
+
+    known = [(a, b) for a, b in rows if a is not None or b is not None]
+    mean = lambda values: sum(values) / len(values)
+    ka, ca, kb, cb = 0.0, mean([a for a, _ in known if a is not None]), 0.0, mean([b for _, b in known if b is not None])
+
+    def fit(x, y):
+        k = np.cov(x, y, bias=True)[0, 1] / np.var(x)
+        return k, np.mean(y) - k * np.mean(x)
+
+    for _ in range(rounds):
+        full = [(a, b if b is not None else kb * a + cb) for a, b in known if a is not None]
+        ka, ca = fit([b for _, b in full], [a for a, _ in full])
+        full = [(a if a is not None else ka * b + ca, b) for a, b in known if b is not None]
+        kb, cb = fit([a for a, _ in full], [b for _, b in full])
+    fill = lambda a, b: (a if a is not None else ka * b + ca if b is not None else None, b if b is not None else kb * a + cb if a is not None else None)
+    return [fill(a, b) for a, b in rows]
+
+
+def test_chained_regression_equals_rounds_over_rows(spark):
+    import random
+
+    import pytest
+
+    from tallyweave.plans.catalogue import chained_regression
+
+    draw = random.Random(3)
+    rows = []
+    for _ in range(200):
+        a = draw.gauss(1000, 3)
+        b = 2 * a + draw.gauss(0, 4)
+        rows.append((a if draw.random() < 0.7 else None, b if draw.random() < 0.6 else None))
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "id int, a double, b double")
+    for rounds in (1, 10):
+        got = {r["id"]: (r["a"], r["b"]) for r in chained_regression(df, "a", "b", rounds).collect()}
+        for i, (a, b) in enumerate(chained_plain(rows, rounds)):
+            assert got[i] == (None if a is None else pytest.approx(a, rel=1e-9), None if b is None else pytest.approx(b, rel=1e-9))
+    empty = df.filter("id < 0")
+    assert chained_regression(empty, "a", "b").count() == 0
+    alone = df.select("id", "a", F.lit(None).cast("double").alias("b"))
+    assert chained_regression(alone, "a", "b").filter("b IS NOT NULL").count() == 0
+
+
+def test_group_imputer_saves_and_loads(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from tallyweave.operators.features import GroupImpute, GroupImputeModel
+
+    df = spark.createDataFrame(
+        [("a", "x", 1.0, "u"), ("a", "x", 3.0, "u"), ("a", "y", None, None), ("b", "y", 9.0, "v"), (None, "y", None, None)],
+        "k string, l string, v double, t string",
+    )
+    stage = GroupImpute(["v", "t"], [["k", "l"], ["k"], ["l"]], last_wins=True)
+    stage.write().overwrite().save(f"{tmp_path}/stage")
+    again = GroupImpute.load(f"{tmp_path}/stage")
+    assert (again.uid, again.targets, again.levels, again.last_wins) == (stage.uid, ["v", "t"], [["k", "l"], ["k"], ["l"]], True)
+    model = Pipeline(stages=[stage]).fit(df)
+    model.write().overwrite().save(f"{tmp_path}/model")
+    loaded = PipelineModel.load(f"{tmp_path}/model")
+    assert isinstance(loaded.stages[0], GroupImputeModel) and loaded.stages[0].uid == model.stages[0].uid
+    key = lambda r: tuple((v is not None, v) for v in r)
+    assert sorted(map(tuple, loaded.transform(df).collect()), key=key) == sorted(map(tuple, model.transform(df).collect()), key=key)
+
+
+def test_csv_catalog_lists_a_folder(spark, tmp_path):
+    from tallyweave.sources.readers import list_files, register_csv_catalog
+
+    (tmp_path / "shop_one_dataset.csv").write_text('id,name\n1,"a ""b"""\n1,"a ""b"""\n2,c\n')
+    (tmp_path / "shop_two.csv").write_text("x\n5\n")
+    (tmp_path / "notes.txt").write_text("no table")
+    views = register_csv_catalog(spark, str(tmp_path), "shop_", schemas={"two": "x int"})
+    assert sorted(views) == ["one", "two"]
+    assert sorted(map(tuple, spark.table("one").collect())) == [("1", 'a "b"'), ("2", "c")]
+    assert spark.table("two").schema["x"].dataType.simpleString() == "int"
+    assert list_files(spark, f"{tmp_path}/none") == [] and register_csv_catalog(spark, f"{tmp_path}/none") == {}

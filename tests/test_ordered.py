@@ -126,3 +126,22 @@ def test_samples_repeat_and_keep_their_shares(spark):
     assert abs(first.count() / 20000 - 0.3) < 0.02
     split = P.hash_split(df, "id", 0.25).groupBy("split").count().collect()
     assert abs({r["split"]: r["count"] for r in split}["test"] / 20000 - 0.25) < 0.02
+
+
+def test_word_median_with_a_word_that_most_rows_share(spark, monkeypatch):
+    """Cells stay small whatever a word's share; the result is that of the plain rule."""
+    from statistics import median
+
+    monkeypatch.setattr(O, "TILE_ROWS", 8)
+    rows = [(i, ["hot", *([f"w{i % 40}"] if i % 3 else []), *([f"x{i % 7}"] if i % 5 == 0 else [])], float(i * 37 % 101), i % 11 == 0) for i in range(600)]
+    rows.append((900, ["rare"], 1.0, True))
+    df = spark.createDataFrame(rows, "id int, words array<string>, v double, bad boolean")
+    got = {r["id"]: r["v"] for r in O.repair_by_word_median(df, {"v": F.col("bad")}, F.col("words"), 5).select("id", "v").collect()}
+    counts = {}
+    for _, words, _, _ in rows:
+        for w in words:
+            counts[w] = counts.get(w, 0) + 1
+    sets = {i: {w for w in words if counts[w] >= 5} for i, words, _, _ in rows}
+    for i, _, v, bad in rows:
+        near = [x for j, _, x, b in rows if not b and sets[j] and sets[i] <= sets[j]]
+        assert got[i] == (median(near) if bad and sets[i] and near else v)
