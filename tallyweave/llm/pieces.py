@@ -13,7 +13,9 @@ follows up to the next mark), and each of them is segmented alike wherever it st
    answers every part with the ids. The number of buckets grows with the text, so a bucket stays bounded.
 4. Documents and answers meet by part, and the ids are joined by position.
 
-Texts are not shuffled: what moves are packed numbers, requests and answers.
+Texts are not shuffled: what moves are packed numbers, requests and answers. Documents are scanned twice, once for the
+requests and once for the numbers, so ``docs`` has to be a stored table or a plain selection of one. A part is named by
+what it holds, so documents that differ between the scans raise an error and never get wrong ids.
 
 Handling: a null text is encoded as the empty one (no ids, decoded to the empty text); texts and chunks of any length
 are taken whole; an empty table gives no rows; repeated rows give equal rows; columns to keep go through unchanged,
@@ -36,15 +38,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.session import staged
-
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 SAMPLE_BYTES = 32 << 20  # bytes of text that the broadcast chunks are counted in, about
 HEAD_CHUNKS = 200_000  # chunks that are broadcast, at most
-PART_CHUNKS = 100_000  # other distinct chunks at which a part is closed
-PART_BYTES = 16 << 20  # characters of text at which a part is closed
-GROUP_CHUNKS = 200_000  # positions at which a packed group of documents is closed
+PART_CHUNKS = 50_000  # other distinct chunks at which a part is closed
+PART_BYTES = 4 << 20  # characters of text at which a part is closed
+GROUP_CHUNKS = 100_000  # positions at which a packed group of documents is closed
 BUCKET_BYTES = 16 << 20  # bytes of text for each bucket of chunks
 IDS = np.dtype("<i4")
 
@@ -121,7 +121,8 @@ def _requests(part: str, numbers: dict[str, int], buckets: int) -> list[tuple]:
     rows = []
     for at in np.split(order, cuts):
         held = [texts[i] for i in at.tolist()]
-        rows.append((part, int(bucket[at[0]]), pack(at), pack(np.array([len(t) for t in held])), _pack_texts(held)))
+        # Numbers rise within a bucket, so their steps are small.
+        rows.append((part, int(bucket[at[0]]), pack(np.diff(at, prepend=0)), pack(np.array([len(t) for t in held])), _pack_texts(held)))
     return rows
 
 
@@ -157,58 +158,70 @@ def frequent_chunks(docs: DataFrame, model_path: str, text: str, size: int) -> t
     return [found["chunk"][i] for i in order], np.frombuffer(b"".join(ids), IDS), lengths
 
 
-def _number_chunks(docs: DataFrame, keep: list[str], text: str, buckets: int, head) -> DataFrame:
-    """Staged rows of two kinds: groups of documents (``kept``, ``lengths``, ``body`` of numbers), and requests, which
-    have a ``bucket``."""
+def _number_chunks(docs: DataFrame, keep: list[str], text: str, buckets: int, head, requests: bool) -> DataFrame:
+    """Rows of one kind: ``requests`` of the parts, or groups of documents (``kept``, ``lengths``, ``body`` of numbers)."""
     kept = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(None).cast("int")
     rows = docs.select(kept.alias("kept"), F.col(f"`{text}`").cast("string").alias("text"))
     names = ["kept", *[n for n, _ in _REQUEST]]
 
     def number(batches):
-        kind = None
-        common = {c: i for i, c in enumerate(head.value[0])}
-        known = common.get
+        common = {c: i for i, c in enumerate(head.value)}
+        start = len(common)
         numbers: dict[str, int] = {}
+        groups: list[tuple] = []
+        lengths: list[int] = []
+        codes: list[int] = []
         size = nth = 0
-        part = f"{TaskContext.get().partitionId()}-{nth}"
-
-        def grouped(held: pa.Array, lengths: list[int], codes: list[int]) -> pa.RecordBatch:
-            lists = pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held)
-            values = [[part], [None], [None], [pack(np.array(lengths))], [pack(np.array(codes))]]
-            return pa.RecordBatch.from_arrays([lists, *[pa.array(v, t) for v, (_, t) in zip(values, _REQUEST, strict=True)]], names=names)
 
-        def asked() -> pa.RecordBatch:
-            columns = list(zip(*_requests(part, numbers, buckets), strict=True))
-            arrays = [pa.array(c, t) for c, (_, t) in zip(columns, _REQUEST, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.nulls(len(arrays[0]), pa.list_(kind)), *arrays], names=names)
+        def close() -> pa.RecordBatch | None:
+            """The finished part under its name."""
+            whole = xxhash.xxh64()
+            for c in numbers:
+                whole.update(c.encode())
+                whole.update(b"\xff")
+            part = f"{TaskContext.get().partitionId()}-{nth}-{whole.hexdigest()}"
+            if requests:
+                if not numbers:
+                    return None
+                columns = list(zip(*_requests(part, numbers, buckets), strict=True))
+                return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _REQUEST, strict=True)], names=names[1:])
+            if not groups:
+                return None
+            held = pa.concat_arrays([g[0] for g in groups])
+            ends = np.cumsum([0] + [len(g[0]) for g in groups])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), held)
+            return pa.RecordBatch.from_arrays(
+                [lists, pa.array([part] * len(groups), pa.string()), *[pa.array([g[i] for g in groups], pa.binary()) for i in (1, 2)]],
+                names=["kept", "part", "lengths", "body"],
+            )
 
         for batch in batches:
-            kind, texts = batch.column(0).type, batch.column(1)
-            at = 0
-            while at < len(texts):
-                start, lengths, codes = at, [], []
-                while at < len(texts) and len(codes) < GROUP_CHUNKS and len(numbers) < PART_CHUNKS and size < PART_BYTES:
-                    before = len(codes)
-                    for chunk in marked_words(texts[at].as_py() or ""):
-                        i = known(chunk)
-                        codes.append(len(common) + numbers.setdefault(chunk, len(numbers)) if i is None else i)
-                        size += len(chunk)
-                    lengths.append(len(codes) - before)
-                    at += 1
-                if lengths:
-                    yield grouped(batch.column(0).slice(start, at - start), lengths, codes)
-                if len(numbers) >= PART_CHUNKS or size >= PART_BYTES:
-                    if numbers:
-                        yield asked()
-                    numbers, size, nth = {}, 0, nth + 1
-                    part = f"{TaskContext.get().partitionId()}-{nth}"
-        if numbers:
-            yield asked()
-
+            texts, first = batch.column(1), 0
+            for at in range(len(texts)):
+                body = texts[at].as_py() or ""
+                chunks = marked_words(body)
+                found = list(map(common.get, chunks))
+                if None in found:
+                    found = [start + numbers.setdefault(c, len(numbers)) if i is None else i for i, c in zip(found, chunks, strict=True)]
+                codes += found
+                lengths.append(len(found))
+                size += len(body)
+                full = len(numbers) >= PART_CHUNKS or size >= PART_BYTES
+                if full or len(codes) >= GROUP_CHUNKS or at + 1 == len(texts):
+                    if not requests:
+                        groups.append((batch.column(0).slice(first, at + 1 - first), pack(np.array(lengths)), pack(np.array(codes))))
+                    first, lengths, codes = at + 1, [], []
+                if full:
+                    if (out := close()) is not None:
+                        yield out
+                    numbers, groups, size, nth = {}, [], 0, nth + 1
+        if (out := close()) is not None:
+            yield out
+
+    if requests:
+        return rows.mapInArrow(number, "part string, bucket int, numbers binary, lengths binary, body binary")
     kind = rows.schema["kept"].dataType.simpleString()
-    return staged(
-        rows.mapInArrow(number, f"kept array<{kind}>, part string, bucket int, numbers binary, lengths binary, body binary"), "parts"
-    )
+    return rows.mapInArrow(number, f"kept array<{kind}>, part string, lengths binary, body binary")
 
 
 def answer_requests(requests: pa.Table, segment_one) -> pa.Table:
@@ -233,13 +246,12 @@ def answer_requests(requests: pa.Table, segment_one) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["part", "numbers", "lengths", "body"])
 
 
-def _join_by_position(documents: pa.Table, answers: pa.Table, head) -> pa.Table:
+def _join_by_position(documents: pa.Table, answers: pa.Table, head_ids: np.ndarray, head_sizes: np.ndarray) -> pa.Table:
     """Documents of one part with the ids of their chunks in order."""
-    chunks, head_ids, head_sizes = head
     counts, ids = [head_sizes], [head_ids]
-    numbers = [np.arange(len(chunks))]
+    numbers = [np.arange(len(head_sizes))]
     for a, b, c in zip(*(answers[n].to_pylist() for n in ("numbers", "lengths", "body")), strict=True):
-        numbers.append(unpack(a).astype("int64") + len(chunks))
+        numbers.append(np.cumsum(unpack(a), dtype="int64") + len(head_sizes))
         counts.append(unpack(b).astype("int64"))
         ids.append(unpack(c))
     order, held, flat = np.concatenate(numbers), np.concatenate(counts), np.concatenate(ids)
@@ -248,6 +260,8 @@ def _join_by_position(documents: pa.Table, answers: pa.Table, head) -> pa.Table:
     kept, found, ends = [], [], [np.zeros(1, "int64")]
     for held_by, lengths, body in zip(documents["kept"].combine_chunks(), documents["lengths"].to_pylist(), documents["body"].to_pylist(), strict=True):
         codes = unpack(body)
+        if codes.max(initial=-1) >= len(size):
+            raise RuntimeError("the documents changed between two scans: store them first")
         each = size[codes]
         after = np.cumsum(each)
         # Place of each id: the start of its chunk plus its rank inside.
@@ -265,21 +279,22 @@ def _join_by_position(documents: pa.Table, answers: pa.Table, head) -> pa.Table:
 def encode_texts(docs: DataFrame, model_path: str, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns and ``ids`` (array of int), as the library encodes the whole text, without begin or end ids."""
     load_model(model_path)
+    context = docs.sparkSession.sparkContext
     size = docs.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
-    head = docs.sparkSession.sparkContext.broadcast(frequent_chunks(docs, model_path, text, size))
-    rows = _number_chunks(docs, keep, text, int(size // BUCKET_BYTES) + 1, head)
-    kind = rows.schema["kept"].dataType.elementType.simpleString()
+    chunks, head_ids, head_sizes = frequent_chunks(docs, model_path, text, size)
+    head, tables = context.broadcast(chunks), context.broadcast((head_ids, head_sizes))
+    buckets = int(size // BUCKET_BYTES) + 1
 
     def answer(requests: pa.Table) -> pa.Table:
         model = _loaded(os.fspath(model_path))
         return answer_requests(requests, lambda chunk: segment(model, chunk))
 
-    answers = rows.where("bucket IS NOT NULL").drop("kept").groupBy("bucket").applyInArrow(
-        answer, "part string, numbers binary, lengths binary, body binary"
-    )
-    documents = rows.where("bucket IS NULL").select("kept", "part", "lengths", "body")
+    requests = _number_chunks(docs, keep, text, buckets, head, requests=True)
+    answers = requests.groupBy("bucket").applyInArrow(answer, "part string, numbers binary, lengths binary, body binary")
+    documents = _number_chunks(docs, keep, text, buckets, head, requests=False)
+    kind = documents.schema["kept"].dataType.elementType.simpleString()
     out = documents.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-        lambda ours, theirs: _join_by_position(ours, theirs, head.value), f"kept {kind}, ids array<int>"
+        lambda ours, theirs: _join_by_position(ours, theirs, *tables.value), f"kept {kind}, ids array<int>"
     )
     return out.select(*[F.col(f"kept.`{c}`").alias(c) for c in keep], "ids")
 
@@ -293,9 +308,11 @@ def decode_ids(encoded: DataFrame, model_path: str, keep: list[str]) -> DataFram
     def decode(batches):
         model = _loaded(os.fspath(model_path))
         for batch in batches:
-            # One list of Python numbers at a time.
-            texts = [model.decode(x.values.to_numpy().tolist()) if x.is_valid and len(x) else "" for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["kept", "decoded"])
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                # One list of Python numbers at a time.
+                texts = [model.decode(x.values.to_numpy().tolist()) if x.is_valid and len(x) else "" for x in some.column(1)]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(texts, pa.string())], names=["kept", "decoded"])
 
     out = rows.mapInArrow(decode, f"kept {rows.schema['kept'].dataType.simpleString()}, decoded string")
     return out.select(*[F.col(f"kept.`{c}`").alias(c) for c in keep], "decoded")

@@ -114,12 +114,14 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers  # noqa: PLC0415
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = encode_texts(table(spark, sf_dir, "documents"), model, ["doc_id"])
-    return decode_ids(encoded, model, ["doc_id", "ids"]).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    encoded = encode_texts(table(spark, sf_dir, "documents"), model, ["doc_id"]).withColumns(
+        {
+            "n_tokens": F.size("ids").cast("long"),
+            "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256),
+        }
+    )
+    return decode_ids(encoded, model, ["doc_id", "n_tokens", "ids_sha256"]).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )
 
 
