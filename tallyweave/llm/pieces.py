@@ -50,8 +50,13 @@ IDS = np.dtype("<i4")
 
 
 def marked_words(text: str) -> list[str]:
-    """The chunks of a text, in order; the empty text has none."""
-    return CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
+    """The chunks of a text, in order, each without the mark it begins with; the empty text has none."""
+    if not text:
+        return []
+    words = text.split(" ")
+    if "" in words or MARK in text:  # marks in a row belong to the chunk they precede
+        return [c[1:] for c in CHUNK.findall(MARK + text.replace(" ", MARK))]
+    return words
 
 
 @functools.lru_cache(maxsize=4)
@@ -83,10 +88,8 @@ def load_model(path: str) -> sentencepiece.SentencePieceProcessor:
 
 
 def segment(model: sentencepiece.SentencePieceProcessor, chunk: str) -> list[int]:
-    """Ids of a marked word. The library adds the first mark itself; a lone mark is read off a text that ends with it."""
-    if chunk == MARK:
-        return model.encode("a ")[len(model.encode("a")) :]
-    return model.encode(chunk[1:])
+    """Ids of a chunk. The library adds the first mark itself; a lone mark is read off a text that ends with it."""
+    return model.encode(chunk) if chunk else model.encode("a ")[len(model.encode("a")) :]
 
 
 def pack(values: np.ndarray) -> bytes:

@@ -78,7 +78,7 @@ def test_packing_is_exact():
 def test_parts_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(P, "PART_CHUNKS", 50)
     df = spark.createDataFrame([(" ".join(f"w{i}-{j}" for i in range(20)),) for j in range(40)], "text string")
-    head = spark.sparkContext.broadcast(["▁w0-0"])
+    head = spark.sparkContext.broadcast(["w0-0"])
     rows = P._number_chunks(df.coalesce(1), [], "text", 1, head, requests=True).collect()
     held = [len(P.unpack(r["numbers"])) for r in rows]
     assert sum(held) == 799 and max(held) < 50 + 20
@@ -94,7 +94,7 @@ def test_other_documents_in_the_second_scan_raise():
 def test_frequent_chunks_come_commonest_first(spark, library):
     df = spark.createDataFrame([("to be or not to be",)] * 3 + [("to once",), (None,)], "text string")
     chunks, ids, lengths = P.frequent_chunks(df, MODEL, "text", 0)
-    assert chunks == ["▁to", "▁be", "▁not", "▁or"]
+    assert chunks == ["to", "be", "not", "or"]
     assert ids.tolist() == library.encode("to be not or") and lengths.sum() == len(ids)
 
 
