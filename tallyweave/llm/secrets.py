@@ -2,11 +2,17 @@
 
 Base kinds are found by pattern. The method adds a fourth kind, ``entropy``: in each candidate string
 (a long run of letters, digits and ``+/_=-``) a window of fixed width slides over the characters. The
-Shannon entropy of the window follows from the sum of n*log2(n) over its characters, and one step
-changes only the counts of the character that enters and of the one that leaves, so the sum is carried
-along and never built anew. What counts as high depends on the class of the candidate's characters.
-Candidates on the allow list are passed over. A span reaches from the first high window to the end of
-the last one.
+Shannon entropy of the window follows from the sum of n*log2(n) over its characters. The counts of all characters are
+carried from window to window: one step changes those of the character that enters and of the one that leaves, and the
+sum by their terms, so nothing is counted anew and the work grows with the length of the candidate. What counts as high
+depends on the class of the candidate's characters.
+
+The allow list (words of examples, runs of one character, counted-up alphabets) is taken out of a candidate first:
+windows that touch an allowed match are passed over, those beside it are not. UUIDs are allowed as a whole, and so are
+candidates without digits unless they change between small and capital letters as often as random ones. A span reaches
+from the first high window to the end of the last one.
+
+No pattern backtracks over repeated groups, so texts and candidates of any length are taken without recursion.
 
 Offsets are code points, ends exclusive. Everything is row by row: no shuffle, whole texts.
 """
@@ -33,13 +39,13 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 # Least bits per character by class, for windows of 20 (at most log2(20) = 4.32).
 LEAST_BITS = {"hex": 3.0, "alnum": 3.7, "base64": 3.8}
-ALLOWED = (
-    r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|test[_-]",
-    r"(.)\1{5,}",
-    r"(?i)0123456789|abcdefghij",
-    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^/?([A-Za-z]+[/_=-]+)*[A-Za-z]*$",
-)
+# Matches within a candidate that no window may touch.
+ALLOWED = r"(?i:example|sample|dummy|placeholder|changeme|your[_-]|test[_-]|0123456789|abcdefghij)|(.)\1{5,}+"
+UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+# Candidates without digits are looked at if this share of their places changes between small and capital letters.
+CASE_CHANGES = 0.4
+MASK = "~"  # stands for a character of an allowed match; no candidate holds it
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 
 
 def _found(text: Column, pattern: str, group: int) -> Column:
@@ -88,50 +94,78 @@ def base_spans(text: Column, kind: str) -> Column:
     return _walk(_found(text, pattern, group), one)
 
 
-def _n_log_n(n: Column) -> Column:
-    return F.when(n > 1, n * F.log2(n)).otherwise(F.lit(0.0))
+ZERO = 48  # a count n is held as the character ZERO + n
 
 
-def _count(char: Column, within: Column) -> Column:
-    return (F.length(within) - F.length(F.replace(within, char, F.lit("")))).cast("double")
+def _bind(value: Column, fn) -> Column:
+    """``fn`` of ``value``, which is evaluated once for all its uses."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
 
 
 def high_windows(word: Column, least: Column, width: int = WINDOW) -> Column:
-    """Struct (first, last): starts of the first and last window of at least ``least`` bits, -1 if none."""
-    most_sum = (F.lit(math.log2(width)) - least) * width  # entropy = log2(width) - sum(n log2 n) / width
-
-    def slide(done: Column, i: Column) -> Column:
-        # The window before this step, without the character that leaves.
-        left = F.greatest(i - width, F.lit(0))
-        leaves = F.substring(word, left, F.lit(1))
-        rest = F.substring(word, left + 1, F.least(i - 1, F.lit(width - 1)))
-        enters = F.substring(word, i, F.lit(1))
-        n_out, n_in = _count(leaves, rest), _count(enters, rest)
-        total = (
-            done["total"]
-            + F.when(i > width, _n_log_n(n_out) - _n_log_n(n_out + 1)).otherwise(F.lit(0.0))
-            + _n_log_n(n_in + 1)
-            - _n_log_n(n_in)
-        )
-        high = (i >= width) & (total <= most_sum + 1e-9)
-        at = (i - width).cast("int")
-        return F.struct(
-            total.alias("total"),
-            F.when(high & (done["first"] < 0), at).otherwise(done["first"]).alias("first"),
-            F.when(high, at).otherwise(done["last"]).alias("last"),
-        )
+    """Struct (first, last): starts of the first and last window of at least ``least`` bits, -1 if none.
 
-    start = F.struct(F.lit(0.0).alias("total"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(word)), start, slide)
+    The state holds the window and one character for each letter of ``ALPHABET``, which says how often it stands in the
+    window. A masked place empties both. What is the same for all windows is part of the state, so it is evaluated once.
+    """
+    most_sum = (F.lit(math.log2(width)) - least) * width + 1e-9  # entropy = log2(width) - sum(n log2 n) / width
+    log_n = [n * math.log2(n) if n else 0.0 for n in range(width + 2)]
+    gain = F.array(*[F.lit(log_n[n + 1] - log_n[n]) for n in range(width + 1)])  # of the sum, when n becomes n + 1
+    empty = F.struct(F.lit("").alias("window"), F.lit(chr(ZERO) * len(ALPHABET)).alias("counts"), F.lit(0.0).alias("total"))
+
+    def changed(held: Column, char: Column, by: int, window: Column) -> Column:
+        """The counts after ``char`` has entered (1) or left (-1)."""
+
+        def with_place(place: Column) -> Column:
+            return _bind(
+                F.ascii(F.substring(held["counts"], place, F.lit(1))) - ZERO,
+                lambda n: F.struct(
+                    window.alias("window"),
+                    F.overlay(held["counts"], F.char((n + ZERO + by).cast("long")), place, F.lit(1)).alias("counts"),
+                    (held["total"] + F.get(gain, n if by > 0 else n - 1) * by).alias("total"),
+                ),
+            )
+
+        return _bind(F.instr(F.lit(ALPHABET), char), with_place)
+
+    def slide(done: Column, x: Column) -> Column:
+        held = done["held"]
+        left = F.when(
+            F.length(held["window"]) >= width,
+            changed(held, F.substring(held["window"], 1, 1), -1, F.substring(held["window"], 2, width)),
+        ).otherwise(held)
+        now = F.when(x == MASK, empty).otherwise(_bind(left, lambda h: changed(h, x, 1, F.concat(h["window"], x))))
+
+        def judge(h: Column) -> Column:
+            high = (h["total"] <= done["most"]) & (F.length(h["window"]) >= width)
+            at = done["at"] + 1 - width
+            return F.struct(
+                (done["at"] + 1).alias("at"),
+                done["most"].alias("most"),
+                h.alias("held"),
+                F.when(high & (done["first"] < 0), at).otherwise(done["first"]).alias("first"),
+                F.when(high, at).otherwise(done["last"]).alias("last"),
+            )
+
+        return _bind(now, judge)
+
+    start = F.struct(F.lit(0).alias("at"), most_sum.alias("most"), empty.alias("held"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+    return F.aggregate(F.split(word, ""), start, slide, lambda done: F.struct(done["first"].alias("first"), done["last"].alias("last")))
+
+
+def masked(word: Column, allowed: str = ALLOWED) -> Column:
+    """The word with ``MASK`` in place of every character of an allowed match."""
+    parts = F.transform(_found(word, allowed, 0), lambda x: F.concat(x["piece"], F.repeat(F.lit(MASK), F.coalesce(F.length(x["match"]), F.lit(0)))))
+    return F.when(word.rlike(allowed), F.array_join(parts, "")).otherwise(word)
 
 
 def entropy_spans(
     text: Column,
     width: int = WINDOW,
     least_bits: dict[str, float] = LEAST_BITS,
-    allowed: tuple[str, ...] = ALLOWED,
+    allowed: str = ALLOWED,
 ) -> Column:
-    """Windows of high entropy in candidates with both letters and digits that are not allowed."""
+    """Windows of high entropy in candidates with letters, beside what is allowed."""
 
     def one(start: Column, x: Column) -> Column:
         word = x["match"]
@@ -140,11 +174,10 @@ def entropy_spans(
             .when(word.rlike("^[0-9A-Za-z]+$"), F.lit(least_bits["alnum"]))
             .otherwise(F.lit(least_bits["base64"]))
         )
-        looked_at = word.rlike("[0-9]") & word.rlike("[A-Za-z]")
-        for pattern in allowed:
-            looked_at = looked_at & ~word.rlike(pattern)
+        changes = F.regexp_count(word, F.lit("[a-z](?=[A-Z])|[A-Z](?=[a-z])"))
+        looked_at = word.rlike("[A-Za-z]") & (word.rlike("[0-9]") | (changes >= F.length(word) * CASE_CHANGES)) & ~word.rlike(UUID)
         spans = F.transform(
-            F.array(high_windows(word, least, width)),
+            F.array(high_windows(masked(word, allowed), least, width)),
             lambda w: _span(start + w["first"], "entropy", F.when(w["first"] >= 0, start + w["last"] + width)),
         )
         return F.when(looked_at, F.filter(spans, lambda s: s["end"].isNotNull())).otherwise(_no_spans())
@@ -167,7 +200,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """``key``, n_assign, n_access, n_hex, n_entropy, base_spans and spans (``kind:start:end``, comma-joined).
 
     Spans are in the order of their starts, then of the kinds. A null text is the empty text and has no
-    spans. One row per input row, repeated rows included; no other input column is read.
+    spans. Candidates of any length are looked at whole. One row per input row, repeated rows included; no other input column is read.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     found = docs.select(

@@ -21,19 +21,26 @@ def base(text):
     return spans + [(m.start(), 2, m.end()) for m in HEX.finditer(text) if len(m[0]) >= 24]
 
 
+ALLOWED = re.compile(r"example|sample|dummy|placeholder|changeme|your[_-]|test[_-]|0123456789|abcdefghij", re.I)
+
+
 def entropy(text):
     spans = []
     for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
         word = m[0]
         least = S.LEAST_BITS["hex" if re.fullmatch("[0-9a-fA-F]+", word) else "alnum" if word.isalnum() else "base64"]
-        if not (re.search("[0-9]", word) and re.search("[A-Za-z]", word)):
+        changes = len(re.findall("[a-z](?=[A-Z])|[A-Z](?=[a-z])", word))
+        if not re.search("[A-Za-z]", word) or not (re.search("[0-9]", word) or changes >= len(word) * S.CASE_CHANGES):
             continue
-        if any(re.search(p, word) for p in S.ALLOWED):
+        if re.fullmatch("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", word):
             continue
+        off = set()
+        for allowed in re.finditer(f"{ALLOWED.pattern.join(['(?i:', ')'])}|(.)\\1{{5,}}", word):
+            off.update(range(*allowed.span()))
         high = []
         for i in range(len(word) - S.WINDOW + 1):
             counts = Counter(word[i : i + S.WINDOW]).values()
-            if -sum(n / S.WINDOW * math.log2(n / S.WINDOW) for n in counts) >= least - 1e-9:
+            if off.isdisjoint(range(i, i + S.WINDOW)) and -sum(n / S.WINDOW * math.log2(n / S.WINDOW) for n in counts) >= least - 1e-9:
                 high.append(i)
         if high:
             spans.append((m.start() + high[0], 3, m.start() + high[-1] + S.WINDOW))
@@ -64,6 +71,11 @@ CASES = [
     (9, "Ab3" * 30 + "Zx9Qw8Er7Ty6Ui5Op4As" + "b1" * 20),
     (None, "token=abcdefghij"),
     (3, "password=token=abcdefg then secret: short token : 'abcdef'"),
+    (11, "latest_key=f7Gk2LqPzX9sVbN4mT6wRcY1hJ0dKe8uAoQiZlWx EXAMPLE_TOKEN=ghpQ7w3Er9Ty2Ui5Op1As4Df6Gh8Jk0Zx my_key=zX9sVbN4mT6wRcY1hJ0d"),
+    (12, "AAAAAA" + "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQ" * 3 + "AAAAAAAAAAAA"),
+    (13, "QzXbVnMkLpOiUyTrEwAsDfGhJk some/LongPath/WithWords/AndMore/OfThem ThisIsJustCamelCaseWordsInARow"),
+    (14, "ab/" * 10_000 + "1 " + "Aa" * 5_000 + " 0123456789abcdef0123456789abcdef0123456789"),
+    (15, "test_" * 30 + "q9W8e7R6t5Y4u3I2o1P0"),
     (10, ("word password=abcdef1 é " * 400) + "x" * 5000),
 ]
 
@@ -77,6 +89,30 @@ def test_cases(spark):
     assert any(r[4] for r in got)
 
 
+def test_secrets_beside_allowed_words_are_found(spark):
+    found = {r["doc_id"]: r["n_entropy"] for r in S.find_secrets(spark.createDataFrame([c for c in CASES if c[0] in (11, 12, 15)], "doc_id long, text string")).collect()}
+    assert found == {11: 3, 12: 1, 15: 1}
+
+
+@pytest.mark.parametrize("unit", ["random", "segments", "one letter"])
+def test_candidates_of_a_megabyte(spark, unit):
+    """One candidate, linear work and no recursion."""
+    import random
+    import time
+
+    draw = random.Random(1)
+    word = {
+        "random": "".join(draw.choices(S.ALPHABET[:62] + "+/", k=1 << 20)),
+        "segments": "ab/" * (1 << 18) + "1",
+        "one letter": "a" * (1 << 20) + "1",
+    }[unit]
+    docs = spark.createDataFrame([(1, word)], "doc_id long, text string")
+    began = time.time()
+    row = S.find_secrets(docs).first()
+    assert row["n_entropy"] == (unit == "random")
+    assert time.time() - began < 60
+
+
 def test_empty_table(spark):
     assert S.find_secrets(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
