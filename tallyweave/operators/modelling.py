@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from tallyweave.functions.numeric import clip
 from tallyweave.operators.columns import q
+from tallyweave.operators.evaluation import chosen_thresholds, fold_costs
 from tallyweave.operators.neighbours import nearest
 from tallyweave.operators.quantiles import group_medians
 from tallyweave.operators.sampling import unit_hash
-from tallyweave.session import spread
+from tallyweave.session import spread, staged
 
 
 def assembled(df: DataFrame, features) -> DataFrame:
@@ -136,11 +137,17 @@ def classification_scores(scored: DataFrame) -> DataFrame:
     return scored.agg(F.lit(float(auc)).alias("auc"), F.lit(float(f1)).alias("f1"), loss.alias("log_loss"))
 
 
-def cross_validated_auc(df: DataFrame, row_id: str, target: str, features, folds: int = 5) -> DataFrame:
-    """(fold, auc, f1, log_loss) of the weighted classifier."""
+def cross_validated_auc(df: DataFrame, row_id: str, target: str, features, folds: int = 5, miss: float = 10, alarm: float = 1) -> DataFrame:
+    """(fold, auc, f1, log_loss, threshold, cost) of the weighted classifier.
+
+    ``cost`` is ``miss`` per positive below the threshold and ``alarm`` per negative at or above it, for the cheapest
+    threshold of the fold's held-out rows.
+    """
     parts, out = folded(df, row_id, folds), None
     for i in range(folds):
         _, scored = weighted_classifier(parts.filter(F.col("fold") != i), parts.filter(F.col("fold") == i), row_id, target, features)
-        row = classification_scores(scored).select(F.lit(i).alias("fold"), "*")
+        scored = staged(scored.withColumn("fold", F.lit(i)), "scored")
+        best = chosen_thresholds(fold_costs(scored, "fold", "score", "label", miss=miss, alarm=alarm)).filter("fold IS NOT NULL")
+        row = classification_scores(scored).select(F.lit(i).alias("fold"), "*").join(best.select("fold", "threshold", "cost"), "fold")
         out = row if out is None else out.unionByName(row)
     return out

@@ -16,7 +16,7 @@ from tallyweave.operators import features as FE
 from tallyweave.operators import modelling as ML
 from tallyweave.operators import pluggable as P
 from tallyweave.operators import textfeatures as T
-from tallyweave.operators.sampling import hash_split
+from tallyweave.operators.sampling import hash_split, unit_hash
 from tallyweave.plans import catalogue as G
 from tallyweave.plans import images as I
 from tallyweave.plans import rfm as R
@@ -376,19 +376,26 @@ def _tokenised(t):
     return staged(spread(t.documents.select("doc_id", X.tokens("text").alias("tokens")), "doc_id"), "tokens")
 
 
+TOPICS = 7
+
+
+def _topics(t):
+    return T.topic_model(T.bag_of_words(t.documents, "doc_id", X.tokens("text")), "doc_id", TOPICS, iterations=10)
+
+
 @query("ml_lda")
 def ml_lda(t):
-    _, _, docs = T.topics(_tokenised(t), "tokens", k=7, iterations=5)
-    from pyspark.ml.functions import vector_to_array
-
-    shares = vector_to_array("topic_shares")
-    return docs.select("doc_id", (F.array_position(shares, F.array_max(shares)) - 1).alias("topic"), F.array_max(shares).alias("share"))
+    """Topic of each document; one without words has equal shares."""
+    docs, _, _ = _topics(t)
+    shares = F.coalesce("shares", F.array_repeat(F.lit(1.0 / TOPICS), TOPICS))
+    out = t.documents.select("doc_id").join(docs, "doc_id", "left").select("doc_id", shares.alias("s"))
+    return out.select("doc_id", (F.array_position("s", F.array_max("s")) - 1).alias("topic"), F.array_max("s").alias("share"))
 
 
 @query("top_terms_per_topic")
 def top_terms_per_topic(t):
-    counter, model, _ = T.topics(_tokenised(t), "tokens", k=7, iterations=5)
-    return T.top_terms(counter, model, 10)
+    _, terms, _ = _topics(t)
+    return T.heaviest_terms(terms, 10)
 
 
 @query("ml_word2vec")
@@ -546,6 +553,33 @@ def _labelled_docs(t):
     )
 
 
+@query(
+    "ml_fold_costs",
+    f"""WITH r AS (SELECT doc_id, lang, source, toxic AS y, CAST(FLOOR({_hash('doc_id', 'fold')} * 5) AS INT) AS fold
+                   FROM labels JOIN documents USING (doc_id)),
+        c AS (SELECT lang, source, fold, SUM(y) AS ones, COUNT(*) AS n FROM r GROUP BY ALL),
+        t AS (SELECT fold, SUM(SUM(ones)) OVER () - SUM(ones) AS o1, SUM(SUM(n)) OVER () - SUM(n) AS o_n FROM c GROUP BY fold),
+        k AS (SELECT lang, source, fold, SUM(ones) OVER w - ones AS k1, SUM(n) OVER w - n AS kn FROM c WINDOW w AS (PARTITION BY lang, source)),
+        s AS (SELECT r.fold, y, COALESCE(k1::DOUBLE / NULLIF(kn, 0), o1::DOUBLE / o_n) AS score
+              FROM r JOIN k USING (lang, source, fold) JOIN t USING (fold)),
+        h AS (SELECT fold, LEAST(100, FLOOR(score * 100))::INT AS b, SUM(y) AS pos, SUM(1 - y) AS neg FROM s GROUP BY ALL),
+        a AS (SELECT * FROM h UNION ALL SELECT NULL, b, SUM(pos), SUM(neg) FROM h GROUP BY b),
+        e AS (SELECT fold, b FROM (SELECT DISTINCT fold FROM a), (SELECT unnest(range(0, 101))::INT AS b)),
+        f AS (SELECT e.fold, e.b, COALESCE(pos, 0) AS pos, COALESCE(neg, 0) AS neg
+              FROM e LEFT JOIN a ON e.b = a.b AND e.fold IS NOT DISTINCT FROM a.fold)
+        SELECT fold, b / 100::DOUBLE AS threshold, CAST(SUM(pos) OVER w - pos AS BIGINT) AS missed,
+               CAST(SUM(neg) OVER (PARTITION BY fold) - SUM(neg) OVER w + neg AS BIGINT) AS false_alarms,
+               CAST(10 * (SUM(pos) OVER w - pos) + SUM(neg) OVER (PARTITION BY fold) - SUM(neg) OVER w + neg AS DOUBLE) AS cost
+        FROM f WINDOW w AS (PARTITION BY fold ORDER BY b)""",
+)
+def ml_fold_costs(t):
+    """Cost of every threshold over out-of-fold class rates by language and source, for each fold and for all."""
+    rows = t.labels.join(t.documents, "doc_id").select(
+        "lang", "source", "toxic", F.floor(unit_hash("doc_id", "fold") * 5).cast("int").alias("fold")
+    )
+    return E.fold_costs(E.out_of_fold_rates(rows, "fold", ["lang", "source"], "toxic"), "fold", "score", "toxic")
+
+
 @query("ml_classify_weighted")
 def ml_classify_weighted(t):
     return ML.cross_validated_auc(_labelled_docs(t), "doc_id", "quality", ["chars", "blanks", "stops", "digits"], folds=5)

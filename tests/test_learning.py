@@ -217,3 +217,57 @@ def test_csv_catalog_lists_a_folder(spark, tmp_path):
     assert sorted(map(tuple, spark.table("one").collect())) == [("1", 'a "b"'), ("2", "c")]
     assert spark.table("two").schema["x"].dataType.simpleString() == "int"
     assert list_files(spark, f"{tmp_path}/none") == [] and register_csv_catalog(spark, f"{tmp_path}/none") == {}
+
+
+def test_topic_model_finds_planted_topics_and_gains_every_round(spark):
+    import random
+
+    draw = random.Random(1)
+    words = {t: [f"{t}{i}" for i in range(12)] for t in "abc"}
+    rows = [(i, w) for i in range(90) for w in draw.choices(words["abc"[i % 3]], k=30) + draw.choices(words[draw.choice("abc")], k=3)]
+    bag = spark.createDataFrame(rows, "doc long, term string").groupBy("doc", "term").agg(F.count(F.lit(1)).alias("n"))
+    docs, terms, fits = T.topic_model(bag, "doc", 3, iterations=10)
+    assert len(fits) == 10 and all(b >= a - 1.0 for a, b in zip(fits, fits[1:], strict=False)) and fits[-1] > fits[0]
+    shares = {r["doc"]: r["shares"] for r in docs.collect()}
+    assert len(shares) == 90 and all(abs(sum(s) - 1) < 1e-9 and min(s) > 0 for s in shares.values())
+    top = {d: s.index(max(s)) for d, s in shares.items()}
+    groups = [{top[d] for d in range(90) if d % 3 == g} for g in range(3)]
+    assert all(len(g) == 1 for g in groups) and len(set.union(*groups)) == 3
+    weights = terms.collect()
+    assert len(weights) == 36 and all(abs(sum(r["weights"][i] for r in weights) - 1) < 1e-9 for i in range(3))
+    heavy = T.heaviest_terms(terms, 10).collect()
+    assert len(heavy) == 30 and all(len({r["term"][0] for r in heavy if r["topic"] == i}) == 1 for i in range(3))
+    again = {r["doc"]: r["shares"] for r in T.topic_model(bag.repartition(7), "doc", 3, iterations=10)[0].collect()}
+    assert all(np.allclose(again[d], shares[d]) for d in shares)
+
+
+def test_topic_model_of_nothing(spark):
+    docs, terms, fits = T.topic_model(spark.createDataFrame([], "doc long, term string, n long"), "doc", 3)
+    assert docs.count() == terms.count() == 0 and fits == []
+
+
+def test_fold_costs_merge_to_those_of_all_rows(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(i % 3), float(s), int(rng.random() < s)) for i, s in enumerate(rng.random(300))] + [(0, None, 1), (1, 0.5, None)]
+    df = spark.createDataFrame(rows, "fold int, score double, y int")
+    costs = E.fold_costs(df, "fold", "score", "y", bins=20, miss=7, alarm=2)
+    got = {(r["fold"], round(r["threshold"] * 20)): (r["missed"], r["false_alarms"], r["cost"]) for r in costs.collect()}
+    assert len(got) == 4 * 21
+    known = [r for r in rows if None not in r]
+    for fold in (None, 0, 1, 2):
+        part = [(min(20, int(s * 20)), y) for f, s, y in known if fold is None or f == fold]
+        for k in range(21):
+            missed, alarms = sum(y for b, y in part if b < k), sum(1 - y for b, y in part if b >= k)
+            assert got[fold, k] == (missed, alarms, 7 * missed + 2 * alarms)
+    for r in E.chosen_thresholds(costs).collect():
+        assert (r["cost"], round(r["threshold"] * 20)) == min((c, k) for (f, k), (_, _, c) in got.items() if f == r["fold"])
+
+
+def test_rates_come_from_other_folds_alone(spark):
+    rows = [(0, "a", 1), (0, "a", 0), (1, "a", 1), (1, "b", 0), (2, "b", 1), (2, None, 1), (0, None, None), (1, "c", 1)]
+    got = E.out_of_fold_rates(spark.createDataFrame(rows, "f int, k string, y int"), "f", ["k"], "y").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        others = [(k, y) for f, k, y in rows if f != r["f"] and y is not None]
+        same = [y for k, y in others if k == r["k"]] or [y for _, y in others]
+        assert abs(r["score"] - sum(same) / len(same)) < 1e-12

@@ -38,3 +38,23 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(entry.queries())
+
+
+def test_entry_point_survives_a_missing_package(monkeypatch):
+    import importlib
+    import sys
+    import warnings
+
+    import __spark_entry__ as entry
+
+    part = "tallyweave.llm.queries"
+    if importlib.util.find_spec("tallyweave.llm") is None:
+        return
+    for name in [m for m in sys.modules if m.startswith("tallyweave.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    with warnings.catch_warnings(record=True) as told:
+        warnings.simplefilter("always")
+        assert entry._part(part) is None
+    assert any("xxhash" in str(w.message) for w in told)
+    assert "rfm_table" in entry.queries()
