@@ -5,15 +5,20 @@ case) and the first four and five bytes of longer words, hashed into 2**20 bucke
 set of terms by bias + sum of w_i + sum over pairs of <v_i, v_j>, so that two terms together can mean more
 (an insult and the group it is aimed at) or less than each by itself.
 
-It is fitted on a bounded sample of labelled documents: the ``sample`` ids that come first by hash. Terms
-are kept if their share in toxic texts differs from that in others by many standard errors; those are the
-machine's inputs, at most ``terms`` of them. The fit is mini-batch AdaGrad in one task over at most
-``sample`` sparse rows. Then all documents are scored where they lie, whole, by the broadcast machine.
+It is fitted on a bounded sample of labelled documents, at most ``sample`` of them, of which toxic ones take
+up to a half, so that rare toxicity is not lost; the bias is set back to the true share afterwards. Two kinds
+of terms become inputs. Terms that tell by themselves: their share in toxic texts differs from that in others
+by many standard errors. And terms that tell only with others: a pilot machine over all terms of at least five
+sample texts learns their factors under a pull to zero that is constant per term, whatever its support, so that
+factors stay large only where pairs with other terms explain labels; the ``paired`` largest join. The fit is
+mini-batch AdaGrad in one task over at most ``sample`` sparse rows. Then all documents are scored where they lie, whole, by the
+broadcast machine.
 """
 
 from __future__ import annotations
 
 import io
+import math
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -62,6 +67,15 @@ class Terms:
         return sorted(found)
 
 
+def _per_row(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of ``values`` over each row's span; an empty row has 0."""
+    out = np.zeros((len(starts) - 1, *values.shape[1:]))
+    filled = np.flatnonzero(np.diff(starts))
+    if len(filled):
+        out[filled] = np.add.reduceat(values, starts[:-1][filled], axis=0)
+    return out
+
+
 class Machine:
     """bias, weights (n) and factors (n x k) over chosen buckets; an unfitted machine scores by its bias."""
 
@@ -69,28 +83,38 @@ class Machine:
         rng = np.random.default_rng(seed)
         self.buckets, self.bias = buckets, 0.0
         self.weights = np.zeros(len(buckets))
-        self.factors = rng.normal(0, 0.02, (len(buckets), k))
+        self.factors = rng.normal(0, 0.1, (len(buckets), k))
 
     def places(self) -> dict[int, int]:
         return {int(b): i for i, b in enumerate(self.buckets)}
 
     def margins(self, terms: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Margin and factor sum of each row; row r has the terms from starts[r] to starts[r + 1]."""
-        n = len(starts) - 1
-        row = np.repeat(np.arange(n), np.diff(starts))
         v = self.factors[terms]
-        sums = np.stack([np.bincount(row, v[:, f], n) for f in range(v.shape[1])], axis=1)
-        squares = np.bincount(row, (v * v).sum(axis=1), n)
-        linear = np.bincount(row, self.weights[terms], n)
-        return self.bias + linear + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
+        sums = _per_row(v, starts)
+        squares = _per_row(np.einsum("ij,ij->i", v, v), starts)
+        return self.bias + _per_row(self.weights[terms], starts) + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
 
     def scores(self, rows: list[list[int]]) -> np.ndarray:
         starts = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64)
         terms = np.fromiter((t for r in rows for t in r), dtype=np.int64, count=int(starts[-1]))
         return 1 / (1 + np.exp(-np.clip(self.margins(terms, starts)[0], -60, 60)))
 
-    def fit(self, rows: list[np.ndarray], labels: np.ndarray, epochs: int, rate: float, shrink: float, batch: int, seed: int):
+    def fit(
+        self,
+        rows: list[np.ndarray],
+        labels: np.ndarray,
+        epochs: int,
+        shrink: np.ndarray | float,
+        factor_shrink: np.ndarray | float,
+        batch: int,
+        seed: int,
+        rate: float = 0.1,
+        factor_rate: float = 0.05,
+    ) -> Machine:
+        """Mini-batch AdaGrad. The shrinks pull a term to zero in each batch that holds it: a number, or one a term."""
         rng = np.random.default_rng(seed)
+        shrink, factor_shrink = (np.broadcast_to(x, self.weights.shape) for x in (shrink, factor_shrink))
         share = min(max(labels.mean(), 1e-3), 1 - 1e-3) if len(labels) else 1e-3
         self.bias = float(np.log(share / (1 - share)))
         seen_w, seen_v, seen_b = np.full(len(self.weights), 1e-6), np.full(self.factors.shape, 1e-6), 1e-6
@@ -99,24 +123,28 @@ class Machine:
             for at in range(0, len(order), batch):
                 chosen = order[at : at + batch]
                 some = [rows[i] for i in chosen]
-                starts = np.concatenate(([0], np.cumsum([len(r) for r in some])))
-                terms = np.concatenate(some).astype(np.int64)
-                margin, sums = self.margins(terms, starts)
-                slope = 1 / (1 + np.exp(-np.clip(margin, -60, 60))) - labels[chosen]
-                row = np.repeat(np.arange(len(some)), np.diff(starts))
-                used, inverse = np.unique(terms, return_inverse=True)
+                sizes = np.array([len(r) for r in some])
+                terms = np.concatenate(some)
+                margin, sums = self.margins(terms, np.concatenate(([0], np.cumsum(sizes))))
+                slope = (1 / (1 + np.exp(-np.clip(margin, -60, 60))) - labels[chosen]) / batch
+                g_b = slope.sum() * batch / len(chosen)
+                seen_b += g_b**2
+                self.bias -= rate * g_b / np.sqrt(seen_b)
+                if not len(terms):
+                    continue
+                row = np.repeat(np.arange(len(some)), sizes)
+                by_term = np.argsort(terms, kind="stable")
+                ordered = terms[by_term]
+                first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+                used = ordered[first]
                 here = slope[row]
-                g_w = np.bincount(inverse, here, len(used)) / batch + shrink * self.weights[used]
                 pull = here[:, None] * (sums[row] - self.factors[terms])
-                g_v = np.stack([np.bincount(inverse, pull[:, f], len(used)) for f in range(pull.shape[1])], axis=1)
-                g_v = g_v / batch + shrink * self.factors[used]
-                g_b = slope.mean()
+                g_w = np.add.reduceat(here[by_term], first) + shrink[used] * self.weights[used]
+                g_v = np.add.reduceat(pull[by_term], first, axis=0) + factor_shrink[used, None] * self.factors[used]
                 seen_w[used] += g_w**2
                 seen_v[used] += g_v**2
-                seen_b += g_b**2
                 self.weights[used] -= rate * g_w / np.sqrt(seen_w[used])
-                self.factors[used] -= rate / 4 * g_v / np.sqrt(seen_v[used])
-                self.bias -= rate * g_b / np.sqrt(seen_b)
+                self.factors[used] -= factor_rate * g_v / np.sqrt(seen_v[used])
         return self
 
     def dump(self) -> bytes:
@@ -147,22 +175,91 @@ def choose_terms(rows: list[np.ndarray], labels: np.ndarray, most: int, errors:
     return np.sort(best[apart[best] >= errors])
 
 
+def _per_batch(support: np.ndarray, n_rows: int, batch: int) -> np.ndarray:
+    """What a prior that counts once in a pass over the rows weighs in each batch that holds the term."""
+    return 1 / np.minimum(n_rows, batch * np.maximum(1, support))
+
+
+def paired_terms(
+    rows: list[np.ndarray],
+    labels: np.ndarray,
+    most: int,
+    least_texts: int,
+    k: int,
+    batch: int,
+    seed: int,
+    steps: int = 1000,
+    pull: float = 5.0,
+    factor_pull: float = 15.0,
+) -> np.ndarray:
+    """Buckets whose factors a pilot machine over all terms of ``least_texts`` texts or more keeps largest.
+
+    ``pull`` and ``factor_pull`` are the precisions of normal priors. Factors that end below 0.2 are no
+    evidence of pairs. At least ``steps`` batches and three passes are made.
+    """
+    support = np.bincount(np.concatenate([*rows, np.zeros(0, dtype=np.int64)]).astype(np.int64), minlength=BUCKETS)
+    buckets = np.flatnonzero(support >= least_texts)
+    if not len(buckets) or labels.min() == labels.max():
+        return buckets[:0]
+    place = np.full(BUCKETS, -1, dtype=np.int32)
+    place[buckets] = np.arange(len(buckets))
+    inner = [p[p >= 0] for p in (place[r] for r in rows)]
+    each = _per_batch(support[buckets], len(rows), batch)
+    epochs = max(3, math.ceil(steps * batch / len(rows)))
+    pilot = Machine(buckets, k, seed).fit(inner, labels, epochs, pull * each, factor_pull * each, batch, seed)
+    size = np.sqrt((pilot.factors**2).sum(axis=1))
+    best = np.argsort(-size, kind="stable")[:most]
+    return np.sort(buckets[best[size[best] >= 0.2]])
+
+
 def fit_machine(
     rows: list[np.ndarray],
     labels: np.ndarray,
     terms: int = 4096,
+    paired: int = 256,
     errors: float = 4.0,
     least_texts: int = 5,
     k: int = 8,
-    epochs: int = 12,
-    rate: float = 0.1,
-    shrink: float = 1e-5,
+    steps: int = 2000,
+    pull: float = 1.0,
+    factor_pull: float = 3.0,
     batch: int = 64,
     seed: int = 3,
 ) -> Machine:
-    machine = Machine(choose_terms(rows, labels, terms, errors, least_texts), k, seed)
-    inner = [np.searchsorted(machine.buckets, r[np.isin(r, machine.buckets)]) for r in rows]
-    return machine.fit(inner, labels, epochs, rate, shrink, batch, seed)
+    """A machine over the terms that tell alone and in pairs; at least ``steps`` batches and twelve passes."""
+    alone = choose_terms(rows, labels, terms, errors, least_texts)
+    together = paired_terms(rows, labels, paired, least_texts, k, batch, seed)
+    machine = Machine(np.union1d(alone, together), k, seed)
+    if not len(rows):
+        return machine.fit(rows, labels, 0, 0.0, 0.0, batch, seed)
+    place = np.full(BUCKETS, -1, dtype=np.int32)
+    place[machine.buckets] = np.arange(len(machine.buckets))
+    inner = [p[p >= 0] for p in (place[r] for r in rows)]
+    support = np.bincount(np.concatenate(inner), minlength=len(machine.buckets))
+    each = _per_batch(support, len(rows), batch)
+    epochs = max(12, math.ceil(steps * batch / len(rows)))
+    return machine.fit(inner, labels, epochs, pull * each, factor_pull * each, batch, seed)
+
+
+def labelled_sample(known: DataFrame, sample: int) -> tuple[DataFrame, float]:
+    """At most ``sample`` rows of ``known`` (key, label), and the log of how much likelier a toxic one was taken.
+
+    Toxic rows take up to half of the places, others the rest. A bound of the hash, set from the counts, lets
+    little more than the rows to take through, so no task passes on more than its part of them.
+    """
+    known = known.withColumn("lot", F.shiftrightunsigned(F.xxhash64("key"), 11).cast("double") / F.lit(float(1 << 53)))
+    toxic = F.col("label") > 0
+    n, n_toxic = known.agg(F.count("*"), F.count(F.when(toxic, 1))).first()
+    most_toxic = min(n_toxic, max(sample // 2, sample - (n - n_toxic)))
+    parts, shares = [], []
+    for mine, there, most in ((toxic, n_toxic, most_toxic), (~toxic, n - n_toxic, min(n - n_toxic, sample - most_toxic))):
+        bound = min(1.0, (most + 8 * math.sqrt(most) + 8) / max(1, there))
+        part = known.where(mine)
+        if most < there:
+            part = part.where(F.col("lot") < bound).orderBy("lot", "key").limit(most)
+        parts.append(part.select("key", "label"))
+        shares.append(most / there if there else 1.0)
+    return parts[0].union(parts[1]), math.log(shares[0] / shares[1]) if min(shares) > 0 else 0.0
 
 
 def train(
@@ -173,12 +270,11 @@ def train(
     Rows with a null key or label are not learned from; if a key has several labels the larger counts.
     Without any label the machine gives every text a low score.
     """
-    known = (
+    known, likelier = labelled_sample(
         labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & (fold(F.col(key)) != 0))
         .groupBy(F.col(key).alias("key"))
-        .agg(F.max(label).cast("int").alias("label"))
-        .orderBy(F.xxhash64("key"), "key")
-        .limit(sample)
+        .agg(F.max(label).cast("int").alias("label")),
+        sample,
     )
     # At most ``sample`` pairs of key and label, so the broadcast is bounded.
     rows = docs.select(F.col(key).alias("key"), utf8(F.col(f"`{text}`")).alias("body")).join(F.broadcast(known), "key")
@@ -203,7 +299,11 @@ def train(
 
     found = rows.mapInArrow(terms, schema).repartition(1).sortWithinPartitions("key", F.xxhash64("terms"))
     dumped = found.mapInArrow(fit, "machine binary").first()
-    return Machine.load(bytes(dumped["machine"])) if dumped else fit_machine([], np.zeros(0))
+    if not dumped:
+        return fit_machine([], np.zeros(0))
+    machine = Machine.load(bytes(dumped["machine"]))
+    machine.bias -= likelier
+    return machine
 
 
 def _scored(docs: DataFrame, machine: Machine, keep: list[str], text: str) -> DataFrame:
