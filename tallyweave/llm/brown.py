@@ -6,23 +6,29 @@ Counts are taken over all training texts. The ``clustered`` most frequent words
 exchange: each word in turn of its half moves to the class that raises the likelihood of the class
 bigrams most. A round counts, in Spark, how often each word stands before and after each class, and scores
 all moves from these counts; only the class of each clustered word and the class bigrams, both of fixed
-size, reach the driver. All other words, those not seen in training among them, belong to a class given by
-their shape (last byte, accents, length), so the class of every word is known without a table of all words.
-
-Clustered words have their relative frequency in the class; words of shape classes are smoothed with one
-share for the unseen. Transitions are smoothed towards the frequency of the class. All probabilities sum
-to one. Counts of rare words are met by a join: each text sends its distinct rare words, never its tokens.
+size, reach the driver. During the exchange all other words stand in classes given by their shape (last
+byte, accents, length).
+
+Then every other training word, however rare, moves from its shape to the class under which the places
+where it stands are likeliest; its places are counted by the pair of classes around it, in one grouped
+pass. The table (word, n, class) stays in Spark and is joined when texts are scored. A word outside the
+clustered ones holds less than one part in ``clustered`` of all tokens, so no key of that pass or join is
+hot. Shapes are left to words not met in training.
+
+A word has its relative frequency in its class; the unseen of a shape have half a token of all. Transitions
+are smoothed towards the frequency of the class. Class bigrams are exact but for pairs of two words outside
+the clustered ones, which are dealt out by the margins of their classes. All probabilities sum to one.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,35 +36,82 @@ from tallyweave.llm.frames import LOWER, fold, utf8
 from tallyweave.session import staged
 
 SHAPES = 16  # shape classes
-HELD_WORDS = 500_000  # words or pairs that a task gathers before it passes them on
-
-
-def tokens_of(text: bytes) -> list[bytes]:
-    """Words of a text: runs of anything but blanks and tabs to carriage returns, A-Z in lower case."""
-    return text.translate(LOWER).split()
-
-
-def shape_of(word: bytes) -> int:
-    """One of SHAPES classes: punctuation at the end, accents, one of four kinds of last letters or lengths."""
-    last = word[-1]
-    marked = not (0x30 <= last <= 0x39 or 0x61 <= last <= 0x7A or last >= 0x80)
-    accents = not word.isascii()
-    kind = min(3, len(word) // 4) if marked else last % 4
-    return marked * 8 + accents * 4 + kind
-
-
-class _Numbers(dict):
-    """Number by word; words without one get the number of their shape."""
-
-    def __init__(self, words: list[bytes]):
-        super().__init__((w, i) for i, w in enumerate(words))
-        self.first_shape = len(words)
-
-    def __missing__(self, word: bytes) -> int:
-        return self.first_shape + shape_of(word)
-
-    def __reduce__(self):
-        return _Numbers, (list(self),)
+HELD_ROWS = 500_000  # rows of counts that a task gathers before it passes them on
+PIECE_BYTES = 4 << 20  # texts tokenised at once; a longer text is a piece of its own
+SCORED_PLACES = 1 << 16  # places scored at once when words outside the clustered ones get classes
+
+_LOWER = np.frombuffer(LOWER, dtype=np.uint8)
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def words_of(bodies: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts and the text of each: runs of anything but blanks and tabs to carriage returns, A-Z in lower case."""
+    none, offsets, values = bodies.buffers()
+    starts = np.frombuffer(offsets, dtype=np.int32)[bodies.offset : bodies.offset + len(bodies) + 1].astype(np.int64)
+    data = np.frombuffer(values or b"", dtype=np.uint8)[starts[0] : starts[-1]]
+    starts -= starts[0]
+    data = _LOWER[data]
+    solid = ~_BLANK[data]
+    first = solid.copy()
+    first[1:] &= ~solid[:-1]
+    edges = starts[:-1][np.diff(starts) > 0]
+    first[edges] = solid[edges]  # a word ends with its text
+    at = np.flatnonzero(first)
+    packed = data[solid]
+    cuts = np.append(np.cumsum(solid)[at] - 1, len(packed)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(cuts), pa.py_buffer(packed)])
+    return words, np.searchsorted(starts, at, side="right") - 1
+
+
+def shapes_of(words: pa.Array) -> np.ndarray:
+    """One of SHAPES classes a word: punctuation at the end, accents, one of four kinds of last letters or lengths."""
+    if not len(words):
+        return np.zeros(0, dtype=np.int64)
+    none, offsets, values = words.buffers()
+    cuts = np.frombuffer(offsets, dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(values, dtype=np.uint8)
+    last = data[cuts[1:] - 1].astype(np.int64)
+    wide = np.append(0, np.cumsum(data >= 0x80))
+    accents = wide[cuts[1:]] > wide[cuts[:-1]]
+    plain = ((last >= 0x30) & (last <= 0x39)) | ((last >= 0x61) & (last <= 0x7A)) | (last >= 0x80)
+    kind = np.where(plain, last % 4, np.minimum(3, np.diff(cuts) // 4))
+    return ~plain * 8 + accents * 4 + kind
+
+
+def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut to rows of at most PIECE_BYTES of text together, or one row."""
+    for batch in batches:
+        lengths = pc.binary_length(batch.column("body")).to_numpy()
+        start, size = 0, 0
+        for i, n in enumerate(lengths.tolist()):
+            if size and size + n > PIECE_BYTES:
+                yield batch.slice(start, i - start)
+                start, size = i, 0
+            size += n
+        if start < len(lengths):
+            yield batch.slice(start)
+
+
+def _merged(tables: Iterable[pa.Table], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Tables of counts n by ``keys``, added up as far as HELD_ROWS rows go."""
+    held, waiting = [], 0
+
+    def added() -> pa.Table:
+        found = pa.concat_tables(held).group_by(keys, use_threads=False).aggregate([("n", "sum")])
+        return found.select([*keys, "n_sum"]).rename_columns([*keys, "n"])
+
+    for one in tables:
+        held.append(one)
+        waiting += len(one)
+        if waiting > 2 * HELD_ROWS:
+            held = [added()]
+            waiting = len(held[0])
+            if waiting > HELD_ROWS:
+                yield from held[0].combine_chunks().to_batches()
+                held, waiting = [], 0
+    if held:
+        yield from added().combine_chunks().to_batches()
 
 
 class Vocabulary:
@@ -68,26 +121,32 @@ class Vocabulary:
     """
 
     def __init__(self, words: list[bytes], clustered: int):
-        self.number = _Numbers(words)
+        self.words = pa.array(words, pa.binary())
         self.n_held, self.n_clustered = len(words), min(clustered, len(words))
         self.end = self.n_held + SHAPES
         first = self.n_clustered
         self.n_symbols = first + SHAPES + 1
-        shapes = [first + shape_of(w) for w in words[first:]]
-        self.symbol = np.array([*range(first), *shapes, *range(first, self.n_symbols)], dtype=np.int64)
+        self.symbol = np.concatenate(
+            (np.arange(first), first + shapes_of(self.words[first:]), np.arange(first, self.n_symbols))
+        ).astype(np.int64)
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        number = self.number
-        return np.array([number[w] for w in words], dtype=np.int64)
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        found = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        other = found < 0
+        if other.any():
+            found[other] = self.n_held + shapes_of(words)[other]
+        return found
 
 
 class Model(NamedTuple):
-    """Everything is indexed by the numbers of the vocabulary, classes by its symbols."""
+    """``classes`` and ``emissions`` are indexed by the numbers of the vocabulary; classes are those of exchange,
+    then the shapes, then the end."""
 
     vocabulary: Vocabulary
     classes: np.ndarray
     transitions: np.ndarray  # log10 P(class | previous class)
-    emissions: np.ndarray  # log10 P(word | class); of shapes without log10(count + 0.5), which a join adds
+    emissions: np.ndarray  # log10 P(word | class) of held words; 0 for the unseen of a shape and the end
+    totals: np.ndarray  # log10 of the tokens of a class: a word of the joined table has log10(n) less that
     unigrams: np.ndarray  # log10(count + 0.5); 0 for shapes
     known: np.ndarray  # 1 for words met in training and, after training on any text, the end
     n_tokens: int
@@ -97,64 +156,60 @@ class Model(NamedTuple):
 def count_words(texts: DataFrame) -> DataFrame:
     """(word binary, n) over all texts (column body)."""
 
+    def tables(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+        for piece in _pieces(batches):
+            found = pc.value_counts(words_of(piece.column("body"))[0])
+            yield pa.table({"word": found.field("values"), "n": found.field("counts")})
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        yield from _merged(tables(batches), ["word"])
 
-        def passed_on() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"]
-            )
-            held.clear()
-            return out
+    return texts.select("body").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-        for batch in batches:
-            for body in batch.column("body"):
-                held.update(tokens_of(body.as_py()))
-                if len(held) > HELD_WORDS:
-                    yield passed_on()
-        if held:
-            yield passed_on()
 
-    return texts.select("body").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def top_words(counts: DataFrame, held: int) -> list:
+    """At most ``held`` words with their counts, most frequent first: all words from some count on.
+
+    The least count comes from a histogram of at most 64 steps for each power of two, so only the wanted
+    words reach the driver.
+    """
+    power = F.floor(F.log2("n"))
+    step = F.greatest(F.lit(1.0), F.pow(F.lit(2.0), power - 6)).cast("long")
+    bound = (F.col("n") - F.col("n") % step).alias("bound")
+    least, total = None, 0
+    for r in counts.groupBy(bound).count().orderBy(F.desc("bound")).collect():
+        total += r["count"]
+        if total > held:
+            break
+        least = r["bound"]
+    if least is None:
+        return []
+    return sorted(counts.where(F.col("n") >= least).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
+
+
+def _framed(words: np.ndarray, rows: np.ndarray, n: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """All texts in a row, one end before, between and after them; and where each word stands."""
+    at = np.arange(len(words)) + rows + 1
+    line = np.full(len(words) + n + 1, end, dtype=np.int64)
+    line[at] = words
+    return line, at
 
 
 def count_bigrams(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(one, two, n) of symbols over all texts, each framed by the end."""
     held = texts.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = held.value
-        size = words.n_symbols
-        codes, counts, waiting, n_waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
-
-        def merged():
-            every = np.concatenate([codes, *[w[0] for w in waiting]])
-            many = np.concatenate([counts, *[w[1] for w in waiting]])
-            found, inverse = np.unique(every, return_inverse=True)
-            return found, np.bincount(inverse, many, len(found)).astype(np.int64)
-
-        def rows():
-            return pa.RecordBatch.from_arrays(
-                [pa.array((codes // size).astype(np.int32)), pa.array((codes % size).astype(np.int32)), pa.array(counts)],
-                names=["one", "two", "n"],
-            )
+    def tables(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+        v = held.value
+        for piece in _pieces(batches):
+            words, rows = words_of(piece.column("body"))
+            line, _ = _framed(v.symbol[v.numbers(words)], rows, len(piece), v.n_symbols - 1)
+            pairs, n = np.unique(line[:-1] * v.n_symbols + line[1:], return_counts=True)
+            one, two = (pairs // v.n_symbols).astype(np.int32), (pairs % v.n_symbols).astype(np.int32)
+            yield pa.table({"one": one, "two": two, "n": n})
 
-        for batch in batches:
-            for body in batch.column("body"):
-                inner = words.symbol[words.numbers(tokens_of(body.as_py()))]
-                symbols = np.concatenate(([size - 1], inner, [size - 1]))
-                some = symbols[:-1] * size + symbols[1:]
-                waiting.append((some, np.ones(len(some), np.int64)))
-                n_waiting += len(some)
-                if n_waiting > HELD_WORDS:
-                    codes, counts = merged()
-                    waiting, n_waiting = [], 0
-                    if len(codes) > 4 * HELD_WORDS:
-                        yield rows()
-                        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        codes, counts = merged()
-        if len(codes):
-            yield rows()
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _merged(tables(batches), ["one", "two"])
 
     found = texts.select("body").mapInArrow(run, "one int, two int, n long")
     return found.groupBy("one", "two").agg(F.sum("n").alias("n"))
@@ -274,6 +329,103 @@ def exchange_clusters(bigrams: DataFrame, n_clustered: int, n_classes: int, roun
     return classes, grid
 
 
+def _smoothed(grid: np.ndarray, pull: float) -> np.ndarray:
+    """P(class of the column | class of the row)."""
+    into = grid.sum(axis=0) + 0.5
+    return (grid + pull * into / into.sum()) / (grid.sum(axis=1)[:, None] + pull)
+
+
+def place_scores(grid: np.ndarray, n_classes: int, pull: float) -> np.ndarray:
+    """Log likelihood of a word's place, by (class before, class after) and by the class the word would have."""
+    own = np.maximum(grid[:, :n_classes].sum(axis=0), 1)
+    t = np.log(_smoothed(grid, pull))
+    scores = t[:, None, :n_classes] + t.T[None, :, :n_classes] - np.log(own)
+    return scores.reshape(len(grid) ** 2, n_classes)
+
+
+def assign_classes(texts: DataFrame, vocabulary: Vocabulary, classes: np.ndarray, grid: np.ndarray, pull: float) -> DataFrame:
+    """(word, n, class, near) of every training word outside the clustered ones: its likeliest exchange class.
+
+    Rows without a word hold how often words of ``class`` stand before class ``near`` (``near`` below the number
+    of classes) or after it (``near`` less that number).
+    """
+    size = len(grid)
+    n_classes = size - SHAPES - 1
+    held = texts.sparkSession.sparkContext.broadcast((vocabulary, classes, place_scores(grid, n_classes, pull)))
+
+    def tables(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+        v, of_symbol, _ = held.value
+        for piece in _pieces(batches):
+            words, rows = words_of(piece.column("body"))
+            symbols = v.symbol[v.numbers(words)]
+            line, at = _framed(of_symbol[symbols], rows, len(piece), size - 1)
+            other = symbols >= v.n_clustered
+            at = at[other]
+            place = (line[at - 1] * size + line[at + 1]).astype(np.int32)
+            yield pa.table({"word": words.filter(pa.array(other)), "place": place, "n": np.ones(len(at), np.int64)})
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _merged(tables(batches), ["word", "place"])
+
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = held.value[2]
+        near = np.zeros((n_classes, 2 * size), dtype=np.int64)
+        for batch in batches:
+            lists = batch.column("places")
+            cuts = lists.offsets.to_numpy().astype(np.int64)
+            places = lists.values.field("place").to_numpy()
+            times = lists.values.field("n").to_numpy()
+            best = np.zeros(len(batch), dtype=np.int32)
+            total = np.zeros(len(batch), dtype=np.int64)
+            start = 0
+            while start < len(batch):  # a word has at most size x size places
+                stop = max(start + 1, int(np.searchsorted(cuts, cuts[start] + SCORED_PLACES, side="right")) - 1)
+                a, b = cuts[start], cuts[stop]
+                inner = cuts[start:stop] - a
+                best[start:stop] = np.add.reduceat(times[a:b, None] * scores[places[a:b]], inner).argmax(axis=1)
+                total[start:stop] = np.add.reduceat(times[a:b], inner)
+                start = stop
+            of_place = np.repeat(best, np.diff(cuts))
+            spots = places[cuts[0] : cuts[-1]]
+            np.add.at(near, (of_place, spots % size), times[cuts[0] : cuts[-1]])
+            np.add.at(near, (of_place, size + spots // size), times[cuts[0] : cuts[-1]])
+            nothing = pa.nulls(len(batch), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(total), pa.array(best), nothing], names=names)
+        own, other = np.nonzero(near)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(own), pa.binary()), pa.array(near[own, other]), pa.array(own.astype(np.int32)), pa.array(other.astype(np.int32))],
+            names=names,
+        )
+
+    names = ["word", "n", "class", "near"]
+    # Tasks have added up what they saw; a hash of the word puts all its places together for both groupings.
+    found = texts.select("body").mapInArrow(count, "word binary, place int, n long").repartition("word")
+    found = found.groupBy("word", "place").agg(F.sum("n").alias("n"))
+    found = found.groupBy("word").agg(F.collect_list(F.struct("place", "n")).alias("places"))
+    return found.mapInArrow(choose, "word binary, n long, class int, near int")
+
+
+def full_grid(grid: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Class bigrams after all words have left their shapes.
+
+    ``near[c, x]``: how often words of class c from outside the clustered ones stand before x; ``near[c, size + x]``:
+    after x. Pairs of two such words are dealt out by the margins of their classes.
+    """
+    size = len(grid)
+    n_classes = size - SHAPES - 1
+    shape = np.zeros(size, dtype=bool)
+    shape[n_classes : size - 1] = True
+    out = grid.astype(np.float64)
+    out[shape] = 0
+    out[:, shape] = 0
+    ahead, behind = near[:, :size], near[:, size:]
+    out[:n_classes, ~shape] += ahead[:, ~shape]
+    out[~shape, :n_classes] += behind[:, ~shape].T
+    before, after = ahead[:, shape].sum(axis=1), behind[:, shape].sum(axis=1)
+    out[:n_classes, :n_classes] += np.outer(before, after) / max(1, before.sum())
+    return out
+
+
 def train(
     docs: DataFrame,
     key: str = "doc_id",
@@ -284,122 +436,171 @@ def train(
     rounds: int = 8,
     pull: float = 4.0,
 ) -> tuple[Model, DataFrame]:
-    """The model of the texts outside fold 1, and the counts (word, n) of all their words.
+    """The model of the texts outside fold 1, and (word, n, class) of all training words outside the clustered ones.
 
-    ``held``: words whose counts travel with the model. ``clustered``: words that get classes by exchange.
+    ``held``: words that travel with the model. ``clustered``: words that seed the classes by exchange.
     ``pull``: weight, in tokens, of the class frequency within the transitions from a class.
     """
     texts = docs.where(fold(F.col(f"`{key}`")) != 1).select(utf8(F.col(f"`{text}`")).alias("body"))
     counts = staged(count_words(texts), "brown-words")
-    top = counts.orderBy(F.desc("n"), "word").limit(held).collect()  # at most ``held`` rows
+    top = top_words(counts, held)
     vocabulary = Vocabulary([bytes(r["word"]) for r in top], clustered)
     bigrams = staged(count_bigrams(texts, vocabulary), "brown-bigrams")
     first = vocabulary.n_clustered
-    classes, grid = exchange_clusters(bigrams, first, n_classes, rounds)
+    of_symbol, seed = exchange_clusters(bigrams, first, n_classes, rounds)
+
+    size = len(seed)
+    n_classes = size - SHAPES - 1
+    assigned = staged(assign_classes(texts, vocabulary, of_symbol, seed, pull), "brown-classes")
+    near = np.zeros((n_classes, 2 * size), dtype=np.int64)
+    for r in assigned.where("word is null").groupBy("class", "near").agg(F.sum("n").alias("n")).collect():
+        near[r["class"], r["near"]] = r["n"]
+    grid = full_grid(seed, near)
+    rest = assigned.where("word is not null").select("word", "n", "class")
 
-    shape_n, shape_types = _shape_sizes(counts, vocabulary)
     n_held = np.array([r["n"] for r in top], dtype=np.float64)
-    n_texts = int(grid[:, -1].sum())
+    n_texts = int(seed[:, -1].sum())
     n_words, n_types = (int(x or 0) for x in counts.agg(F.sum("n"), F.count("*")).first())
-    into = grid.sum(axis=0) + 0.5
-    transitions = np.log10((grid + pull * into / into.sum()) / (grid.sum(axis=1)[:, None] + pull))
-
-    symbol = vocabulary.symbol[:-1]
-    of_class = np.bincount(classes[:first], n_held[:first], len(grid)) if first else np.zeros(len(grid))
-    below = -np.log10(shape_n + 0.5 * (shape_types + 1))
-    log_count = np.concatenate((np.log10(n_held + 0.5), np.zeros(SHAPES)))
-    emissions = np.zeros(vocabulary.end + 1)
-    own = symbol < first
-    emissions[: vocabulary.end][own] = np.log10(n_held[:first] / of_class[classes[:first]])
-    emissions[: vocabulary.end][~own] = log_count[~own] + below[symbol[~own] - first]
-    unigrams = np.concatenate((log_count, [math.log10(n_texts + 0.5)]))
+    # Of a place, half a token in all goes to the unseen of each shape; the rest to the other classes.
+    unseen = 0.5 / (n_words + n_texts + 0.5 * (SHAPES + 1))
+    shape = np.zeros(size, dtype=bool)
+    shape[n_classes : size - 1] = True
+    transitions = np.full((size, size), unseen)
+    transitions[:, ~shape] = _smoothed(grid[:, ~shape], pull) * (1 - SHAPES * unseen)
+
+    classes = np.concatenate((of_symbol[:first], np.zeros(len(top) - first, np.int64), np.arange(n_classes, size)))
+    if len(top) > first:
+        found = {bytes(r["word"]): r["class"] for r in rest.where(F.col("n") >= int(n_held[-1])).select("word", "class").collect()}
+        classes[first : len(top)] = [found[bytes(r["word"])] for r in top[first:]]
+    of_class = np.bincount(of_symbol[:first], n_held[:first], n_classes) if first else np.zeros(n_classes)
+    of_class += near[:, :size].sum(axis=1)  # a word stands before something each time
+    totals = np.log10(np.maximum(of_class, 1))
+    emissions = np.concatenate((np.log10(n_held) - totals[classes[: len(top)]], np.zeros(SHAPES + 1)))
+    unigrams = np.concatenate((np.log10(n_held + 0.5), np.zeros(SHAPES), [math.log10(n_texts + 0.5)]))
     known = np.concatenate((np.ones(len(top)), np.zeros(SHAPES), [float(n_texts > 0)]))
     model = Model(
-        vocabulary, classes, transitions, emissions, unigrams, known, n_words + n_texts, n_types + (n_texts > 0)
+        vocabulary, classes, np.log10(transitions), emissions, totals, unigrams, known, n_words + n_texts, n_types + (n_texts > 0)
     )
-    return model, counts
+    return model, rest
 
 
-def _shape_sizes(counts: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and types of each shape class: of all words that are not clustered."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            symbols = held.value.symbol[held.value.numbers(batch.column("word").to_pylist())] - held.value.n_clustered
-            n = batch.column("n").to_numpy()
-            rest = symbols >= 0
-            tokens = np.bincount(symbols[rest], n[rest], SHAPES).astype(np.int64)
-            types = np.bincount(symbols[rest], minlength=SHAPES).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(range(SHAPES), pa.int32()), pa.array(tokens), pa.array(types)], names=["shape", "n", "types"])
-
-    held = counts.sparkSession.sparkContext.broadcast(vocabulary)
-    found = counts.mapInArrow(run, "shape int, n long, types long").groupBy("shape").agg(F.sum("n"), F.sum("types")).collect()
-    tokens, types = np.zeros(SHAPES), np.zeros(SHAPES)
-    for shape, n, m in found:
-        tokens[shape], types[shape] = n, m
-    return tokens, types
-
-
-def score_texts(docs: DataFrame, model: Model, counts: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, model: Model, rest: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` with n_tokens, n_known, train_tokens, base_score (unigrams), score (the model), perplexity.
 
     Scores are log10 probabilities of the whole text with its end. A null text is empty: one token. One row
     per input row, repeated rows and null keys included; input columns of these names are replaced.
+
+    A text sends its distinct words that are not held to the joined table, never its tokens. ``path`` keeps,
+    of its classes in order, those next to such a word; such words are in it as -1, -2 and so on by their
+    number in the text.
     """
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model)
     added = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
     keep = [c for c in keep if c not in added]
-    names = ["n_tokens", "n_known", "base", "model", "words", "times"]
+    names = ["n_tokens", "n_known", "base", "model", "words", "times", "shapes", "path"]
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
+    def first_part(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
         v = m.vocabulary
+        for piece in _pieces(batches):
+            n = len(piece)
+            words, rows = words_of(piece.column("body"))
+            numbers = v.numbers(words)
+            per_text = np.bincount(rows, minlength=n)
+
+            def sums(values: np.ndarray, last: float, rows=rows, n=n) -> np.ndarray:
+                return np.bincount(rows, values, n) + last
+
+            rare = numbers >= v.n_held
+            terms = words.filter(pa.array(rare)).dictionary_encode()
+            many = max(1, len(terms.dictionary))
+            found, place, times = np.unique(
+                rows[rare] * many + terms.indices.to_numpy().astype(np.int64), return_inverse=True, return_counts=True
+            )
+            cuts = np.searchsorted(found // many, np.arange(n + 1)).astype(np.int32)
+            listed = terms.dictionary.take(pa.array(found % many))
+
+            line = np.full(len(words) + 2 * n, m.classes[v.end], dtype=np.int64)
+            at = np.arange(len(words)) + 2 * rows + 1
+            line[at] = m.classes[numbers]
+            line[at[rare]] = -1 - (place - cuts[rows[rare]])
+            text_of = np.repeat(np.arange(n), per_text + 2)
+            inside = text_of[1:] == text_of[:-1]
+            plain = inside & (line[1:] >= 0) & (line[:-1] >= 0)
+            model_sum = np.bincount(text_of[1:][plain], m.transitions[line[:-1][plain], line[1:][plain]], n)
+            new = line < 0
+            on_path = new.copy()
+            on_path[1:] |= new[:-1]
+            on_path[:-1] |= new[1:]
+            steps = np.searchsorted(text_of[on_path], np.arange(n + 1)).astype(np.int32)
+
+            lists = pa.ListArray.from_arrays
+            yield pa.RecordBatch.from_arrays(
+                [
+                    piece.column("row"),
+                    pa.array(per_text + 1),
+                    pa.array(sums(m.known[numbers], m.known[v.end]).astype(np.int64)),
+                    pa.array(sums(m.unigrams[numbers], m.unigrams[v.end])),
+                    pa.array(model_sum + sums(m.emissions[numbers], 0)),
+                    lists(pa.array(cuts), listed),
+                    lists(pa.array(cuts), pa.array(times.astype(np.int32))),
+                    lists(pa.array(cuts), pa.array(shapes_of(listed).astype(np.int8))),
+                    lists(pa.array(steps), pa.array(line[on_path].astype(np.int32))),
+                ],
+                names=["row", *names],
+            )
+
+    def second_part(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        n_classes = len(m.totals)
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in names}
-            for body in batch.column("body"):
-                words = tokens_of(body.as_py())
-                numbers = np.concatenate((v.numbers(words), [v.end]))
-                classes = m.classes[v.symbol[numbers]]
-                before = np.concatenate((classes[-1:], classes[:-1]))
-                rare = Counter(words[i] for i in np.flatnonzero((numbers >= v.n_held) & (numbers < v.end)).tolist())
-                out["n_tokens"].append(len(numbers))
-                out["n_known"].append(int(m.known[numbers].sum()))
-                out["base"].append(float(m.unigrams[numbers].sum()))
-                out["model"].append(float(m.transitions[before, classes].sum() + m.emissions[numbers].sum()))
-                out["words"].append(list(rare))
-                out["times"].append(list(rare.values()))
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()))
-            columns = [pa.array(out[c], t) for c, t in zip(names, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), *columns], names=["row", *names])
+            known, base, score = (batch.column(c).to_numpy().copy() for c in ("n_known", "base", "model"))
+            steps, path = batch.column("path").offsets.to_numpy(), batch.column("path").values.to_numpy()
+            cuts = batch.column("times").offsets.to_numpy()
+            times, shapes = (batch.column(c).values.to_numpy() for c in ("times", "shapes"))
+            seen = batch.column("seen").fill_null([])
+            seen_cuts = seen.offsets.to_numpy()
+            number, count, label = (seen.values.field(c).to_numpy() for c in ("i", "n", "class"))
+            for i in range(len(batch)):
+                many = times[cuts[i] : cuts[i + 1]].astype(np.float64)
+                if not len(many):
+                    continue
+                here = slice(seen_cuts[i], seen_cuts[i + 1])
+                own = shapes[cuts[i] : cuts[i + 1]].astype(np.int64) + n_classes
+                own[number[here]] = label[here]
+                n = np.zeros(len(many))
+                n[number[here]] = count[here]
+                line = path[steps[i] : steps[i + 1]].astype(np.int64)
+                new = line < 0
+                line[new] = own[-1 - line[new]]
+                pair = new[1:] | new[:-1]  # two that are not new meet only where the path leaves words out
+                score[i] += m.transitions[line[:-1][pair], line[1:][pair]].sum()
+                score[i] += (many[number[here]] * (np.log10(count[here]) - m.totals[label[here]])).sum()
+                base[i] += (many * np.log10(n + 0.5)).sum()
+                known[i] += int(many[n > 0].sum())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("n_tokens"), pa.array(known), pa.array(base), pa.array(score)], names=["row", *names[:4]]
+            )
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), utf8(F.col(f"`{text}`")).alias("body"))
-    schema = (
-        f"row {rows.schema['row'].dataType.simpleString()}, n_tokens long, n_known long, base double, model double, "
-        "words array<binary>, times array<int>"
-    )
-    found = staged(rows.mapInArrow(run, schema).withColumn("row_id", F.monotonically_increasing_id()), "brown-texts")
-    rare = found.select("row_id", F.explode(F.arrays_zip("words", "times")).alias("x")).select(
-        "row_id", F.col("x.words").alias("word"), F.col("x.times").alias("times")
-    )
-    seen = F.coalesce(F.col("n"), F.lit(0))
-    sums = (
-        rare.join(counts, "word", "left")
+    start = f"row {rows.schema['row'].dataType.simpleString()}, n_tokens long, n_known long, base double, model double"
+    lists = ", words array<binary>, times array<int>, shapes array<tinyint>, path array<int>"
+    found = staged(rows.mapInArrow(first_part, start + lists).withColumn("row_id", F.monotonically_increasing_id()), "brown-texts")
+    seen = (
+        found.select("row_id", F.posexplode("words").alias("i", "word"))
+        .join(rest, "word")
         .groupBy("row_id")
-        .agg(
-            F.sum(F.col("times") * F.log10(seen + 0.5)).alias("rare_sum"),
-            F.sum(F.when(seen > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-        )
+        .agg(F.collect_list(F.struct("i", "n", "class")).alias("seen"))
     )
-    rare_sum = F.coalesce(F.col("rare_sum"), F.lit(0.0))
+    scored = found.drop("words").join(seen, "row_id", "left").mapInArrow(second_part, start)
     floor = math.log10(model.n_tokens + 0.5 * (model.n_types + 1))
-    score = F.col("model") + rare_sum
-    return found.drop("words", "times").join(sums, "row_id", "left").select(
+    return scored.select(
         "row.*",
         "n_tokens",
-        (F.col("n_known") + F.coalesce(F.col("rare_known"), F.lit(0))).cast("long").alias("n_known"),
+        "n_known",
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + rare_sum - F.col("n_tokens") * F.lit(floor)).alias("base_score"),
-        score.alias("score"),
-        F.pow(F.lit(10.0), -score / F.col("n_tokens")).alias("perplexity"),
+        (F.col("base") - F.col("n_tokens") * F.lit(floor)).alias("base_score"),
+        F.col("model").alias("score"),
+        F.pow(F.lit(10.0), -F.col("model") / F.col("n_tokens")).alias("perplexity"),
     )
