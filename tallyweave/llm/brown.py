@@ -36,8 +36,8 @@ from tallyweave.llm.frames import LOWER, fold, utf8
 from tallyweave.session import staged
 
 SHAPES = 16  # shape classes
-HELD_ROWS = 500_000  # rows of counts that a task gathers before it passes them on
-PIECE_BYTES = 4 << 20  # texts tokenised at once; a longer text is a piece of its own
+HELD_ROWS = 150_000  # rows of counts that a task gathers before it passes them on
+PIECE_BYTES = 1 << 20  # texts tokenised at once; a longer text is a piece of its own
 SCORED_PLACES = 1 << 16  # places scored at once when words outside the clustered ones get classes
 
 _LOWER = np.frombuffer(LOWER, dtype=np.uint8)
@@ -58,8 +58,10 @@ def words_of(bodies: pa.Array) -> tuple[pa.Array, np.ndarray]:
     edges = starts[:-1][np.diff(starts) > 0]
     first[edges] = solid[edges]  # a word ends with its text
     at = np.flatnonzero(first)
+    last = solid.copy()
+    last[:-1] &= ~solid[1:] | first[1:]
     packed = data[solid]
-    cuts = np.append(np.cumsum(solid)[at] - 1, len(packed)).astype(np.int32)
+    cuts = np.append(0, np.cumsum(np.flatnonzero(last) - at + 1)).astype(np.int32)
     words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(cuts), pa.py_buffer(packed)])
     return words, np.searchsorted(starts, at, side="right") - 1
 
@@ -70,10 +72,10 @@ def shapes_of(words: pa.Array) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     none, offsets, values = words.buffers()
     cuts = np.frombuffer(offsets, dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
-    data = np.frombuffer(values, dtype=np.uint8)
+    data = np.frombuffer(values, dtype=np.uint8)[cuts[0] : cuts[-1]]
+    cuts -= cuts[0]
     last = data[cuts[1:] - 1].astype(np.int64)
-    wide = np.append(0, np.cumsum(data >= 0x80))
-    accents = wide[cuts[1:]] > wide[cuts[:-1]]
+    accents = np.maximum.reduceat(data, cuts[:-1]) >= 0x80
     plain = ((last >= 0x30) & (last <= 0x39)) | ((last >= 0x61) & (last <= 0x7A)) | (last >= 0x80)
     kind = np.where(plain, last % 4, np.minimum(3, np.diff(cuts) // 4))
     return ~plain * 8 + accents * 4 + kind
