@@ -120,6 +120,19 @@ def test_tfidf_vectors_equal_the_relational_form(spark):
             assert long.get((r["id"], term), 0.0) == pytest.approx(weight)
 
 
+def test_tfidf_of_common_and_rare_terms(spark, monkeypatch):
+    """Terms beyond the most frequent take the other way and weigh the same; rows of one id are one document."""
+    rows = [(i % 20, f"all some{i % 3} own{i}" + " few" * (i % 7 == 0)) for i in range(40)] + [(None, "all own1"), (77, None), (78, "")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    words = F.split("text", " ")
+    whole = {(r["id"], r["term"]): r["weight"] for r in T.tf_idf(df, "id", words).collect()}
+    monkeypatch.setattr(T, "COMMON_TERMS", 4)
+    parts = {(r["id"], r["term"]): r["weight"] for r in T.tf_idf(df, "id", words).collect()}
+    assert parts == pytest.approx(whole) and (None, "all") not in whole
+    held = {(i, w) for i, text in rows if i is not None and text is not None for w in text.split(" ")}
+    assert set(whole) == held
+
+
 def test_chained_regression(spark):
     data = [(float(i), 2.0 * i + 1) for i in range(10)] + [(None, 41.0), (30.0, None), (None, None)]
     df = spark.createDataFrame(data, "a double, b double")
