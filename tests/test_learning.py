@@ -254,6 +254,21 @@ def test_topic_model_finds_planted_topics_and_gains_every_round(spark):
     assert all(np.allclose(again[d], shares[d]) for d in shares)
 
 
+def test_topic_blocks_of_any_size_give_the_same(spark, monkeypatch):
+    rows = [(f"d{i % 23}" if i % 29 else None, f"t{i * i % 31}", 1 + i % 4) for i in range(300)]
+    bag = spark.createDataFrame(rows, "doc string, term string, n long")
+
+    def model():
+        docs, terms, fits = T.topic_model(bag, "doc", 3, iterations=4)
+        return {r["doc"]: r["shares"] for r in docs.collect()}, {r["term"]: r["weights"] for r in terms.collect()}, fits
+
+    one = model()
+    monkeypatch.setattr(T, "BLOCK_ROWS", 40)
+    many = model()
+    assert set(one[0]) == set(many[0]) == {f"d{i}" for i in range(23)} and set(one[1]) == set(many[1])
+    assert all(np.allclose(one[i][key], many[i][key]) for i in (0, 1) for key in one[i]) and np.allclose(one[2], many[2])
+
+
 def test_topic_model_of_nothing(spark):
     docs, terms, fits = T.topic_model(spark.createDataFrame([], "doc long, term string, n long"), "doc", 3)
     assert docs.count() == terms.count() == 0 and fits == []
