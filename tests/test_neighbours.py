@@ -180,3 +180,25 @@ def test_top_k_leaves_out_own_ids_and_breaks_ties():
     refs = np.array([[0.0], [1.0], [1.0], [-1.0]])
     row, rid, dist = NB.top_k(np.array([[0.0], [1.0]]), refs, np.array([7, 9, 8, 6]), 2, np.array([7, 9]))
     assert list(zip(row, rid, dist)) == [(0, 6, 1.0), (0, 8, 1.0), (1, 8, 0.0), (1, 7, 1.0)]
+
+
+def test_tiles_are_sent_to_batches(spark, monkeypatch):
+    """A batch is a run of tiles, about eight batches to a side, none above its limit; every tile is in one."""
+    tiles = spark.range(300).selectExpr("cast(id % 9 AS int) AS cell", "cast(id % 7 AS int) AS ring", "cast(id AS int) AS salt")
+    sizes = lambda: [r["n"] for r in NB._numbered(tiles).groupBy("batch").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes()) == 300 and max(sizes()) <= 32 and len(sizes()) == 10
+    monkeypatch.setattr(NB, "BATCH_TILES", 1000)
+    assert sum(sizes()) == 300 and len(sizes()) == 9
+
+
+def test_equal_queries_are_asked_once(spark, monkeypatch):
+    asked, search = [], NB._search
+    monkeypatch.setattr(NB, "_search", lambda points, *rest: asked.append(points.count()) or search(points, *rest))
+    qs = frame(spark, [[i % 3] for i in range(60)] + [[1.0]]).unionByName(frame(spark, [[2.0]]))  # id 0 stands twice
+    found = NB.nearest(qs, frame(spark, [[0.2], [1.1], [1.9]], "ref"), 2, "id", "ref", "v").collect()
+    assert asked == [3] and len(found) == 122
+    got = {}
+    for r in sorted(found, key=lambda r: (r["id"], r["rank"])):
+        got.setdefault(r["id"], []).append((r["ref"], round(r["dist2"], 9)))
+    assert got.pop(0) == [(2, 0.01), (0, 0.04)]
+    assert all(v == {0: [(0, 0.04), (1, 1.21)], 1: [(1, 0.01), (0, 0.64)], 2: [(2, 0.01), (1, 0.81)]}[i % 3 if i < 60 else 1] for i, v in got.items())
