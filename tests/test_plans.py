@@ -184,3 +184,14 @@ def test_cluster_stability_of_every_week(spark, monkeypatch):
     for row in adjusted_rand_indices(pairs, "w", "p", "r").collect():
         alone = adjusted_rand_index(pairs.where(F.col("w") == row["w"]), "p", "r").first()
         assert (round(row["ari"], 12), row["n"]) == (round(alone["ari"], 12), alone["n"])
+
+
+def test_catalogue_stage_replaces_what_it_was_made_from(spark):
+    from tallyweave.session import staged, staged_paths
+
+    first = staged(spark.range(5).toDF("id"), "first")
+    kept = set(staged_paths())
+    df = G.replaced(first.withColumns({"x": F.col("id").cast("double"), "g": F.lit("a")}), "one", kept)
+    df = G.repair_rule(df, F.col("x") > 3, ("x",), ("g",), kept)
+    assert len(set(staged_paths()) - kept) == 1 and first.count() == 5
+    assert sorted(r["x"] for r in df.collect()) == [0.0, 1.0, 1.5, 2.0, 3.0]
