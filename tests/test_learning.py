@@ -153,6 +153,20 @@ def test_regression_scores_and_clipping(spark):
     assert got["linear"]["n"] == 100
 
 
+def test_elastic_net_takes_one_pass_and_finds_the_optimum(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 2))
+    y = x @ [3.0, 0.02] + 1 + rng.normal(size=300) * 0.1
+    df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y, strict=True)], "a double, b double, label double")
+    elastic, grid = ML.regressors()["elasticnet"]
+    assert elastic.getSolver() == "normal" and len(grid) == 4
+    rows = ML.assembled(df, ["a", "b"])
+    for params in grid:
+        # The solvers scale the penalty by deviations over n and n - 1 rows.
+        one, steps = (elastic.copy({elastic.solver: solver}).fit(rows, params) for solver in ("normal", "l-bfgs"))
+        assert np.allclose(one.coefficients.toArray(), steps.coefficients.toArray(), rtol=1e-2) and abs(one.intercept - steps.intercept) < 1e-2
+
+
 def chained_plain(rows, rounds):
     """The same rounds over whole rows."""
     import numpy as np
