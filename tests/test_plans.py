@@ -195,3 +195,13 @@ def test_catalogue_stage_replaces_what_it_was_made_from(spark):
     df = G.repair_rule(df, F.col("x") > 3, ("x",), ("g",), kept)
     assert len(set(staged_paths()) - kept) == 1 and first.count() == 5
     assert sorted(r["x"] for r in df.collect()) == [0.0, 1.0, 1.5, 2.0, 3.0]
+
+
+def test_customer_history_gives_the_table_of_each_date(spark):
+    tables = shop(spark)
+    history = M.rfm_history(tables, "2018-02-01")
+    for date in ("2018-01-02 12:00:00", "2018-01-31"):
+        got, want = history(date), M.rfm_table(tables, to_date=date)
+        assert got.columns == want.columns and want.count() > 0
+        key = lambda r: r["customer_unique_id"]
+        assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
