@@ -313,3 +313,46 @@ def test_rates_come_from_other_folds_alone(spark):
         others = [(k, y) for f, k, y in rows if f != r["f"] and y is not None]
         same = [y for k, y in others if k == r["k"]] or [y for _, y in others]
         assert abs(r["score"] - sum(same) / len(same)) < 1e-12
+
+
+def test_word_vectors_stay_off_the_driver(spark, monkeypatch):
+    """Words that share contexts lie together; blocks are averaged; the driver is sent no vector."""
+    monkeypatch.setattr(T, "BLOCK_WORDS", 12_000)
+    monkeypatch.setattr(T, "RUN", 20)
+    rng = np.random.default_rng(1)
+    topics = [[f"{name}{i}" for i in range(6)] for name in ("sea", "hill")]
+    texts = [[str(w) for w in rng.choice(topics[i % 2], 12)] for i in range(3_000)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(9_000, []), (9_001, None), (9_002, ["once"]), (9_003, ["sea0", "once"]), (9_003, ["sea0"])]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    words, docs = T.word_vectors(df, "tokens", size=16, partitions=2)
+    v = {r["word"]: np.array(r["vector"]) for r in words.collect()}
+    assert set(v) == {w for t in topics for w in t} | {"once"}
+    alike = lambda a, b: a @ b / np.sqrt((a @ a) * (b @ b))
+    centre = np.mean([x for w, x in v.items() if w != "once"], axis=0)
+    near = lambda other: alike(v["sea0"] - centre, v[other] - centre)
+    assert np.mean([near(f"sea{i}") for i in range(1, 6)]) > 0.4 > -0.4 > np.mean([near(f"hill{i}") for i in range(6)])
+    got = docs.collect()
+    assert len(got) == len(rows) and docs.columns == ["id", "tokens", "doc_vector"]
+    for r in got:
+        want = sum((v[t] for t in r["tokens"] or []), np.zeros(16)) / max(1, len(r["tokens"] or []))
+        assert np.allclose(r["doc_vector"], want, atol=1e-6)
+    # A fitted MLlib model would hold all vectors at the driver.
+    assert not hasattr(words, "getVectors")
+
+
+def test_word_vectors_of_one_block_by_single_pairs(monkeypatch):
+    """Runs of one word, neighbours of reach one, no negative samples: equal to a loop over pairs."""
+    monkeypatch.setattr(T, "RUN", 1)
+    at, doc = np.array([0, 1, 2, 1, 0]), np.array([0, 0, 0, 1, 1])
+    start = T._starts(np.arange(3), 4)
+    assert np.abs(start).max() <= 0.125 and (T._starts(np.array([2]), 4)[0] == start[2]).all()
+    want, other = start.astype("float64"), np.zeros((3, 4))
+    for i in range(5):
+        step, mine = 0.5 * (1 - i / 5), want[at[i]].copy()
+        pairs = [j for j in (i - 1, i + 1) if 0 <= j < 5 and doc[j] == doc[i]]
+        pull = {j: step * (1 - 1 / (1 + np.exp(-(mine @ other[at[j]])))) for j in pairs}
+        want[at[i]] += sum(pull[j] * other[at[j]] for j in pairs)
+        for j in pairs:
+            other[at[j]] += pull[j] * mine
+    got = T._skip_grams(at, doc, start.copy(), [0, 1], window=1, negatives=0, rate=0.5)
+    assert np.abs(got - start).max() > 1e-4 and np.allclose(got, want, atol=1e-6)
