@@ -202,3 +202,18 @@ def test_equal_queries_are_asked_once(spark, monkeypatch):
         got.setdefault(r["id"], []).append((r["ref"], round(r["dist2"], 9)))
     assert got.pop(0) == [(2, 0.01), (0, 0.04)]
     assert all(v == {0: [(0, 0.04), (1, 1.21)], 1: [(1, 0.01), (0, 0.64)], 2: [(2, 0.01), (1, 0.81)]}[i % 3 if i < 60 else 1] for i, v in got.items())
+
+
+def test_counts_leave_few_text_pairs(spark):
+    """The bound is never below the similarity, and few pairs of texts that differ in letters are left to measure."""
+    rng = np.random.default_rng(8)
+    word = lambda letters, n: "".join(rng.choice(list(letters), size=n))
+    texts = np.array([word("abcdefgh"[i % 5 :], 4 + i % 9) for i in range(60)] + ["", "é\U0001f600", "aaaaaaaa"], dtype=object)
+    bound = NB._most_similar(texts, texts, NB._counts(texts), NB._counts(texts))
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts):
+            assert bound[i, j] >= 1 - levenshtein(a, b) / max(len(a), len(b), 1) - 1e-12
+    make = lambda rows, c: spark.createDataFrame([(r,) for r in rows], f"{c} string")
+    known = make([f"{word('abcdefghijklmnopqrst', 12)} {i}" for i in range(900)], "rt")
+    asked = make([f"brand#{i:09d} small" for i in range(40)], "qt")
+    assert NB._count_tiles(asked, known)(asked.withColumn("least", F.lit(0.5))).count() < 0.05 * 900 * 40
