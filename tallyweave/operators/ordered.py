@@ -196,13 +196,18 @@ def fit_cascade(df: DataFrame, targets, levels, kind: str = "median") -> DataFra
 
 def apply_cascade(df: DataFrame, targets, levels, fills: DataFrame, last_wins: bool = False) -> DataFrame:
     """Missing targets filled from the finest level that has a value (or the last, with ``last_wins``)."""
-    out = df
-    for i, keys in enumerate(levels):
+    # Fills are gathered once for each distinct combination of the keys, so rows are joined once, not once a level.
+    keys = sorted({k for level in levels for k in level})
+    each = df.select(*[q(k) for k in keys]).distinct()
+    for i, level in enumerate(levels):
         table = fills.select(F.col("group").alias("_group"), *[q(c).alias(f"_fill{i}_{c}") for c in targets])
-        out = out.withColumn("_group", _level_key(i, keys)).join(table, "_group", "left").drop("_group")
+        each = each.withColumn("_group", _level_key(i, level)).join(table, "_group", "left").drop("_group")
     order = range(len(levels) - 1, -1, -1) if last_wins else range(len(levels))
-    new = {c: F.coalesce(q(c), *[q(f"_fill{i}_{c}") for i in order]) for c in targets}
-    return out.withColumns(new).select(*[q(c) for c in df.columns])
+    found = {c: F.coalesce(*[q(f"_fill{i}_{c}") for i in order]).alias(f"_fill_{c}") for c in targets}
+    each = each.select(*[q(k).alias(f"_key{j}") for j, k in enumerate(keys)], *found.values())
+    same = reduce(lambda a, b: a & b, [q(k).eqNullSafe(F.col(f"_key{j}")) for j, k in enumerate(keys)])
+    new = {c: F.coalesce(q(c), q(f"_fill_{c}")) for c in targets}
+    return df.join(each, same, "left").withColumns(new).select(*[q(c) for c in df.columns])
 
 
 def cascade_impute(df: DataFrame, targets, levels, kind: str = "median", last_wins: bool = False) -> DataFrame:

@@ -13,7 +13,7 @@ from tallyweave.functions import numeric as N
 from tallyweave.functions import text as X
 from tallyweave.operators.columns import q, raise_total
 from tallyweave.operators.ordered import cascade_impute
-from tallyweave.session import staged
+from tallyweave.session import spread, staged
 
 # Names of the record columns, limits and unit factors of the domain.
 TYPE, PRIMARY, AREA, DECADE = "BuildingType", "PrimaryPropertyType", "Neighborhood", "DecadeBuilt"
@@ -140,6 +140,6 @@ DROPPED = (
 
 def clean_buildings(df: DataFrame, keep_id: bool = True) -> DataFrame:
     """The whole cleaning; the record id stays unless told otherwise."""
-    df = staged(areas_and_counts(non_residential(df)), "counts")
+    df = staged(areas_and_counts(spread(non_residential(df))), "counts")
     out = energy(staged(parking(df), "parking")).drop(*DROPPED)
     return out if keep_id else out.drop("OSEBuildingID")

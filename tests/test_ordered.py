@@ -145,3 +145,17 @@ def test_word_median_with_a_word_that_most_rows_share(spark, monkeypatch):
     for i, _, v, bad in rows:
         near = [x for j, _, x, b in rows if not b and sets[j] and sets[i] <= sets[j]]
         assert got[i] == (median(near) if bad and sets[i] and near else v)
+
+
+def test_cascade_joins_rows_once(spark):
+    """Four levels are looked up for each distinct key, null keys too; the rows meet one table."""
+    rows = [("a", "x", 1.0), ("a", "x", None), ("a", None, None), (None, "y", None), ("b", "y", 5.0), (None, None, None)] * 2
+    df = spark.createDataFrame(rows, "k string, m string, v double")
+    levels = [["k", "m"], ["k"], ["m"]]
+    out = O.cascade_impute(df, "v", levels)
+    got = sorted(((r["k"], r["m"], r["v"]) for r in out.collect()), key=str)
+    want = [("a", "x", 1.0), ("a", "x", 1.0), ("a", None, 1.0), (None, "y", 5.0), ("b", "y", 5.0), (None, None, None)] * 2
+    assert got == sorted(want, key=str)
+    fills = O.fit_cascade(df, ["v"], levels)
+    plan = O.apply_cascade(df.repartition(3), ["v"], levels, fills)._jdf.queryExecution().analyzed().toString()
+    assert plan.split("RepartitionByExpression")[0].split("Repartition 3")[0].count("Join") == 1
