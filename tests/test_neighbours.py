@@ -146,6 +146,38 @@ def test_density_in_six_dimensions(spark, monkeypatch):
     assert len({(got[i], want[i]) for i in got}) == len(set(got.values())) == len(set(want.values())) >= 4
 
 
+def test_density_writes_rows_not_pairs(spark, monkeypatch):
+    """Crowded points: every table that is written between the steps grows with the points, not with their pairs."""
+    written, staged = [], D.staged
+
+    def counted(df, name="stage"):
+        out = staged(df, name)
+        written.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(D, "staged", counted)
+    monkeypatch.setattr(D, "TILE_ROWS", 32)
+    pts = np.round(np.random.default_rng(8).uniform(size=(500, 6)) * 1.8, 3)
+    df = frame(spark, pts).unionByName(spark.createDataFrame([(900, [float("inf")] * 6), (901, [float("nan")] * 6)], "id long, v array<double>"))
+    got = {r["id"]: r["cluster"] for r in D.density_clusters(df, "id", "v", 6, 0.9, 20).collect()}
+    assert got.pop(900) is None and got.pop(901) is None
+    want = dbscan(pts, 0.9, 20)
+    assert got == want and None in want.values() and len(set(want.values())) > 1
+    assert max(written)[0] <= 2 * len(pts), max(written)
+
+
+def test_density_of_large_leaves_and_repeated_ids(spark, monkeypatch):
+    """Leaves that are dealt by a hash, and an id that stands at two places, each of which counts for itself."""
+    monkeypatch.setattr(D, "TILE_ROWS", 8)
+    monkeypatch.setattr(D, "MAX_DEPTH", 1)
+    rng = np.random.default_rng(3)
+    pts = np.round(np.concatenate([rng.normal(size=(90, 2)), rng.normal(size=(60, 2)) * 0.5 + (6, 0), rng.uniform(-4, 9, size=(30, 2))]), 2)
+    got = {r["id"]: r["cluster"] for r in D.density_clusters(frame(spark, pts), "id", "v", 2, 0.5, 5).collect()}
+    assert got == dbscan(pts, 0.5, 5)
+    twice = spark.createDataFrame([(1, [0.0])] * 3 + [(1, [9.0])] * 2 + [(2, [0.1])], "id long, v array<double>")
+    assert sorted(map(tuple, D.density_clusters(twice, "id", "v", 1, 0.5, 3).collect()), key=str) == [(1, 1)] * 3 + [(1, None)] * 2 + [(2, 1)]
+
+
 def test_components_of_a_long_path(spark):
     nodes = spark.range(70).withColumnRenamed("id", "node")
     edges = spark.createDataFrame([(i, i + 1) for i in range(49)] + [(60, 69)], "a long, b long")
