@@ -4,6 +4,7 @@ import glob
 import hashlib
 import io
 import struct
+import time
 
 import pytest
 import zstandard
@@ -72,6 +73,22 @@ def test_whole_stream_is_plain_zstandard(archive):
     assert reader.read() == b"".join(W.read_archive(archive))
 
 
+def test_reading_grows_with_the_length_of_an_archive():
+    """Records of all block kinds are cut out of a long archive; no record copies what lies behind it."""
+    noise = [hashlib.sha256(b"%d" % i).digest() * 4 for i in range(120_000)]
+    large = [b"", b"z" * 400_000, b"".join(noise[:9_000]), b"ab" * 200_000]
+    packers = [zstandard.ZstdCompressor(write_checksum=c, write_content_size=s) for c, s in ((False, True), (True, True), (True, False))]
+    records = [*noise, *large * len(packers)]
+    frames = [packers[i % len(packers)].compress(r) for i, r in enumerate(records)]
+    began = time.process_time()
+    assert list(W.read_archive(W.SEPARATOR.join(frames))) == records
+    assert time.process_time() - began < 8
+    whole = W.SEPARATOR.join(frames[-2:])
+    for cut in (1, 5, len(frames[-1]) - 7):
+        with pytest.raises((ValueError, zstandard.ZstdError)):
+            list(W.read_archive(whole[:-cut]))
+
+
 def test_damage_is_noticed():
     record = W.build_record(1, "u", b"payload", 7, hashlib.sha256(b"payload").hexdigest(), None, "2024-01-01T00:00:00Z")
     assert W.parse_record(record)["intact"]
