@@ -356,3 +356,13 @@ def test_word_vectors_of_one_block_by_single_pairs(monkeypatch):
             other[at[j]] += pull[j] * mine
     got = T._skip_grams(at, doc, start.copy(), [0, 1], window=1, negatives=0, rate=0.5)
     assert np.abs(got - start).max() > 1e-4 and np.allclose(got, want, atol=1e-6)
+
+
+def test_topic_rounds_leave_no_bag_behind(spark):
+    from tallyweave.session import staged_paths
+
+    before = set(staged_paths())
+    bag = spark.createDataFrame([(i % 9, f"w{i % 7}", 1 + i % 3) for i in range(63)], "d long, term string, n int")
+    docs, _, fits = T.topic_model(bag.groupBy("d", "term").agg(F.sum("n").alias("n")), "d", 2, iterations=3)
+    left = sorted(p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in set(staged_paths()) - before)
+    assert left == ["blocks", "terms", "topic-terms", "topics"] and len(fits) == 3 and docs.count() == 9
