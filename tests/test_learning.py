@@ -366,3 +366,15 @@ def test_topic_rounds_leave_no_bag_behind(spark):
     docs, _, fits = T.topic_model(bag.groupBy("d", "term").agg(F.sum("n").alias("n")), "d", 2, iterations=3)
     left = sorted(p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in set(staged_paths()) - before)
     assert left == ["blocks", "terms", "topic-terms", "topics"] and len(fits) == 3 and docs.count() == 9
+
+
+def test_word_vectors_store_no_vectors_of_blocks(spark):
+    from tallyweave.session import staged, staged_paths
+
+    texts = [(i, ["a", "b", f"c{i % 4}"] * 5) for i in range(40)]
+    before = set(staged_paths())
+    df = staged(spark.createDataFrame(texts, "d int, tokens array<string>"), "tokens")
+    words, docs = T.word_vectors(df, "tokens", size=8, partitions=3, spent=staged_paths()[-1:])
+    left = sorted(p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in set(staged_paths()) - before)
+    assert left == ["word-blocks", "word-rows", "word-vectors"]
+    assert words.count() == 6 and docs.filter(F.size("doc_vector") == 8).count() == 40
